@@ -18,14 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wavequarry.operators.ranking import rank_in_class
 from wavequarry.session import cut, small_side
 
 #: Bytes of payload that one consolidated file should hold.
 TARGET_BYTES = 32 << 20
 #: Size classes between nothing and a full bin.
 CLASSES = 1024
-#: Files of one class that one task ranks.
-RANKED_ROWS = 200_000
 
 
 def pack(classes: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int]]:
@@ -80,10 +79,7 @@ def assign_bins(manifest: DataFrame, target_bytes: int = TARGET_BYTES, classes:
     capacity = min(max(target_bytes, granule), math.ceil(total / wanted)) + min(largest, target_bytes) + granule
     oversize = capacity // granule + 1
     klass = F.least(F.greatest(F.ceil(F.col("bytes") / granule), F.lit(1)), F.lit(oversize)).cast("int")
-    salt = F.pmod("checksum", F.lit(max(1, math.ceil(files / RANKED_ROWS)))).cast("int")
-    salted = manifest.withColumn("klass", klass).withColumn("salt", salt)
-    parts = cut(salted.groupBy("klass", "salt").count())
-    counts = [(r["klass"], r["n"]) for r in parts.groupBy("klass").agg(F.sum("count").alias("n")).collect()]  # at most oversize rows
+    ranked, counts = rank_in_class(manifest.withColumn("klass", klass), "klass", "path", files)
     mean = manifest.agg(F.coalesce(F.avg("bytes"), F.lit(granule))).first()[0] / granule
     rounding = max(1.0, sum(k * n for k, n in counts) / max(1.0, mean * files))
     runs = pack(counts, max(1, round(capacity / granule * rounding)))
@@ -93,10 +89,6 @@ def assign_bins(manifest: DataFrame, target_bytes: int = TARGET_BYTES, classes:
         rows.append((size, first, ends.get(size, files), take, start))
         ends[size] = first
     table = spark.createDataFrame(rows, "klass int, first bigint, last bigint, per_bin bigint, start bigint")
-    before = Window.partitionBy("klass").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("klass", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("klass", "salt").orderBy("checksum", "path")) - 1)
-    ranked = ranked.join(small_side(offsets), ["klass", "salt"]).withColumn("rank", F.col("rank") + F.col("offset"))
     bins = ranked.join(small_side(table), "klass").where("rank >= first AND rank < last")
     out = cut(bins.select("path", "bytes", "checksum", (F.col("start") + F.floor((F.col("rank") - F.col("first")) / F.col("per_bin"))).cast("int").alias("bin")))
     n_bins = (out.agg(F.max("bin")).first()[0] or 0) + 1

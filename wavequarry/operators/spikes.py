@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavequarry.functions.signals import channel_groups
 from wavequarry.session import arrow_batches, cut, small_side
 
 #: A channel's radius and peak value are an outburst beyond this multiple of its source's tail quantile.
@@ -38,27 +39,6 @@ CHANNELS = "array<struct<ch:int,radius:double,peak:double,run:int,wild:boolean>>
 LOG_BIN = 0.01
 
 
-def _channels(x: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, channel, samples) for each channel length in a batch; null readings become NaN."""
-    if isinstance(x, pa.ChunkedArray):
-        x = x.combine_chunks()
-    per_row = np.nan_to_num(x.value_lengths().to_numpy(zero_copy_only=False), nan=0).astype(np.int64)
-    flat = x.flatten()
-    row = np.repeat(np.arange(len(x)), per_row)
-    first = np.cumsum(per_row) - per_row
-    ch = np.arange(len(row)) - np.repeat(first, per_row)
-    length = np.nan_to_num(flat.value_lengths().to_numpy(zero_copy_only=False), nan=0).astype(np.int64)
-    values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    start = np.cumsum(length) - length
-    for n in np.unique(length):
-        if n > 0:
-            at = np.flatnonzero(length == n)
-            if len(at) * n == len(values):
-                yield row[at], ch[at], values.reshape(len(at), n)
-            else:
-                yield row[at], ch[at], values[start[at, None] + np.arange(n)]
-
-
 def _finite(v: np.ndarray) -> np.ndarray:
     """Readings that can occur; the others become NaN."""
     with np.errstate(invalid="ignore"):
@@ -76,7 +56,7 @@ def _median(a: np.ndarray) -> np.ndarray:
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         source, parts = batch.column("source"), []
-        for row, _, raw in _channels(batch.column("x")):
+        for row, _, raw in channel_groups(batch.column("x")):
             if raw.shape[1] < 3:
                 continue
             v = _finite(raw)
@@ -103,7 +83,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         scale = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("a0", "a1", "slope", "a2")}
         parts = []
-        for row, ch, raw in _channels(batch.column("x")):
+        for row, ch, raw in channel_groups(batch.column("x")):
             v = _finite(raw)
             wild = np.isnan(v).any(axis=1)
             a0, a1, slope, a2 = (scale[c][row][:, None] for c in ("a0", "a1", "slope", "a2"))
