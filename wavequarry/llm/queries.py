@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavequarry.functions.paths import dataset_of
-from wavequarry.llm import overlap
-from wavequarry.operators.records import splits, stored_rows
-from wavequarry.session import load
+from wavequarry.functions.paths import dataset_of, record_path, subject_no
+from wavequarry.llm import mixing, overlap, split_groups
+from wavequarry.operators.records import listed_paths, splits, stored_rows
+from wavequarry.session import cut, load
 
 
 def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +26,59 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(_overlaps(spark, sf_dir), splits(spark, sf_dir), dataset_of)
 
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons whose records are now listed in more than one split."""
+    grouped = cut(split_groups.group_records(splits(spark, sf_dir), split_groups.record_entities(F.col("path"))))
+    leaking = split_groups.leaking_components(grouped)
+    persons = grouped.groupBy("component", dataset_of(F.col("path")).alias("dataset"), subject_no(F.col("path")).alias("subject_no")).agg(F.lit(1).alias("one"))
+    return persons.join(leaking, "component").where("subject_no IS NOT NULL").select("dataset", "subject_no").distinct()
+
+
+def p4_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listed record with the split that its whole component goes to."""
+    records = splits(spark, sf_dir).select("path").distinct()
+    grouped = cut(split_groups.group_records(records, split_groups.record_entities(F.col("path"))))
+    shares = {r["split_name"]: float(r["share"]) for r in load(spark, sf_dir, "split_targets").limit(100).collect()}
+    return split_groups.assign_splits(grouped, shares).select("path", "component", "new_split")
+
+
+def p4_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and share of each split after the assignment."""
+    counts = cut(p4_split(spark, sf_dir).groupBy("new_split").agg(F.count("*").alias("records")))
+    return counts.join(F.broadcast(counts.agg(F.sum("records").alias("total")))).select("new_split", "records", (F.col("records") / F.col("total")).alias("share"))
+
+
+def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    path = record_path(F.col("path"))
+    label = F.max(F.when(F.col("dataset") == dataset_of(path), F.col("dataset"))).alias("label")
+    train = load(spark, sf_dir, "train").groupBy(path.alias("path")).agg(label).where("path IS NOT NULL")
+    sizes = stored_rows(load(spark, sf_dir, "segments")).groupBy("path").agg(F.max(F.size("x")).alias("size"))
+    return mixing.mix(train.join(sizes, "path"), load(spark, sf_dir, "mix_targets"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datasets that cannot reach their target share within their repeat limit."""
+    return _mixture(spark, sf_dir)[1].where("short").select("dataset")
+
+
+def p5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the mixture and how often each is used."""
+    return _mixture(spark, sf_dir)[0]
+
+
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached size and share of each dataset."""
+    return _mixture(spark, sf_dir)[1]
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_report": p2_report,
+    "p4_found": p4_found,
+    "p4_split": p4_split,
+    "p4_shares": p4_shares,
+    "p5_found": p5_found,
+    "p5_mixture": p5_mixture,
+    "p5_shares": p5_shares,
+}
 ORACLE: dict[str, str] = {}
