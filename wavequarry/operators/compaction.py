@@ -4,21 +4,22 @@ The files to merge are listed once into a frozen manifest (path, bytes, checksum
 Their sizes are counted by size class, and first-fit decreasing packs the classes:
 it fills one bin after the other with the largest classes that still fit, and
 repeats a bin's pattern while the classes last. The driver sees only the class
-counts, whose number is bounded by ``classes``; each file finds its bin by its rank
-in its class. Every bin is rewritten by one task into one file of a staging folder,
-the row counts and checksums of what was written are held against the manifest, and
-a rename makes the folder visible.
+counts, whose number is bounded by ``CLASSES``. Within a class the files go to its
+bins in hash order, so a bin is a range of hashes per class and a row finds its bin
+by itself: signals move once, to the task that writes their bin as one file of a
+staging folder. The row counts and checksums of what was written are held against the
+manifest, and a rename makes the folder visible.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wavequarry.operators.ranking import rank_in_class
+from wavequarry.operators.ranking import hash_order, hash_part, rank_in_class
 from wavequarry.session import cut, small_side
 
 #: Bytes of payload that one consolidated file should hold.
@@ -57,42 +58,57 @@ def pack(classes: list[tuple[int, int]], capacity: int) -> list[tuple[int, int,
     return runs
 
 
-def freeze(rows: DataFrame, payload: str = "x") -> DataFrame:
-    """The frozen manifest of ``rows``: path, bytes, checksum, one row per path.
+def _bytes(payload: str = "x") -> Column:
+    return F.aggregate(payload, F.lit(0).cast("bigint"), lambda n, c: n + F.coalesce(F.size(c), F.lit(0)).cast("bigint")) * 4
+
+
+def freeze(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """The frozen manifest: path, bytes and checksum of the listed paths that ``rows`` hold, one row per path.
 
     Of repeated rows of a path the one with the smallest checksum is kept, so the
     choice does not depend on the order of the rows.
     """
-    x = F.col(payload)
-    size = F.aggregate(x, F.lit(0).cast("bigint"), lambda n, c: n + F.coalesce(F.size(c), F.lit(0)).cast("bigint")) * 4
-    per_row = rows.select("path", F.struct(F.xxhash64("path", x).alias("checksum"), size.alias("bytes")).alias("f"))
-    return cut(per_row.groupBy("path").agg(F.min("f").alias("f")).select("path", F.col("f.bytes").alias("bytes"), F.col("f.checksum").alias("checksum")))
-
-
-def assign_bins(manifest: DataFrame, target_bytes: int = TARGET_BYTES, classes: int = CLASSES) -> tuple[DataFrame, int]:
-    """The manifest with each file's ``bin``, and the number of bins."""
-    spark = manifest.sparkSession
-    total, files, largest = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*"), F.coalesce(F.max("bytes"), F.lit(0))).first()
-    granule = max(1, target_bytes // classes)
-    wanted = max(1, math.ceil(total / target_bytes))
-    # classes are rounded up, so a bin holds at most this; the slack of one file keeps the last bin from being a remnant
-    capacity = min(max(target_bytes, granule), math.ceil(total / wanted)) + min(largest, target_bytes) + granule
-    oversize = capacity // granule + 1
-    klass = F.least(F.greatest(F.ceil(F.col("bytes") / granule), F.lit(1)), F.lit(oversize)).cast("int")
-    ranked, counts = rank_in_class(manifest.withColumn("klass", klass), "klass", "path", files)
-    mean = manifest.agg(F.coalesce(F.avg("bytes"), F.lit(granule))).first()[0] / granule
-    rounding = max(1.0, sum(k * n for k, n in counts) / max(1.0, mean * files))
-    runs = pack(counts, max(1, round(capacity / granule * rounding)))
-    ends = {}
-    rows = []
-    for size, first, take, start in reversed(runs):
-        rows.append((size, first, ends.get(size, files), take, start))
-        ends[size] = first
-    table = spark.createDataFrame(rows, "klass int, first bigint, last bigint, per_bin bigint, start bigint")
-    bins = ranked.join(small_side(table), "klass").where("rank >= first AND rank < last")
-    out = cut(bins.select("path", "bytes", "checksum", (F.col("start") + F.floor((F.col("rank") - F.col("first")) / F.col("per_bin"))).cast("int").alias("bin")))
-    n_bins = (out.agg(F.max("bin")).first()[0] or 0) + 1
-    return out, n_bins
+    per_row = rows.select("path", F.struct(F.xxhash64("path", "x").alias("checksum"), _bytes().alias("bytes")).alias("f"))
+    per_path = per_row.groupBy("path").agg(F.min("f").alias("f")).join(listed.select("path").distinct(), "path", "left_semi")
+    return cut(per_path.select("path", F.col("f.bytes").alias("bytes"), F.col("f.checksum").alias("checksum")))
+
+
+class Bins:
+    """First-fit decreasing bins over a frozen manifest."""
+
+    def __init__(self, manifest: DataFrame, target_bytes: int = TARGET_BYTES) -> None:
+        spark = manifest.sparkSession
+        total, self.files, largest = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*"), F.coalesce(F.max("bytes"), F.lit(0))).first()
+        self.granule = max(1, target_bytes // CLASSES)
+        even = math.ceil(total / max(1, math.ceil(total / target_bytes)))
+        # the slack of one file and of the rounding to classes keeps the last bin from being a remnant
+        capacity = (even + min(largest, target_bytes)) // self.granule + 2
+        self.oversize = 2 * CLASSES + 2
+        ranked, counts = rank_in_class(manifest.withColumn("klass", self._klass()), "klass", "path", self.files)
+        rounded = sum(k * n for k, n in counts) * self.granule / max(1, total)
+        rows, last = [], dict(counts)
+        for klass, first, take, start in reversed(pack(counts, math.ceil(capacity * max(1.0, rounded)))):
+            rows.append((klass, first, last[klass], take, start))
+            last[klass] = first
+        self.count = max((start + math.ceil((end - first) / take) for _, first, end, take, start in rows), default=1)
+        runs = spark.createDataFrame(rows, "klass int, first bigint, last bigint, take bigint, start bigint")
+        placed = ranked.join(small_side(runs), "klass").where("rank >= first AND rank < last")
+        bin_ = (F.col("start") + F.floor((F.col("rank") - F.col("first")) / F.col("take"))).cast("int")
+        starts = placed.select("klass", "part", bin_.alias("bin"), "h").groupBy("klass", "part", "bin").agg(F.min("h").alias("low"))
+        order = Window.partitionBy("klass", "part").orderBy("low")
+        low = F.when(F.row_number().over(order) == 1, F.lit(0)).otherwise(F.col("low"))
+        high = F.coalesce(F.lead("low").over(order), F.lit((1 << 63) - 1))
+        self.ranges = cut(starts.select("klass", "part", "bin", low.cast("bigint").alias("low"), high.cast("bigint").alias("high")))
+
+    def _klass(self) -> Column:
+        return F.least(F.greatest(F.ceil(F.col("bytes") / self.granule), F.lit(1)), F.lit(self.oversize)).cast("int")
+
+    def place(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (path, bytes and others) with the ``bin`` of their size and hash; rows that no bin was made for are dropped."""
+        h = hash_order("path")
+        keyed = rows.withColumn("klass", self._klass()).withColumn("h", h).withColumn("part", hash_part(h, self.files))
+        found = keyed.join(small_side(self.ranges), ["klass", "part"]).where("h >= low AND (h < high OR high = 9223372036854775807)")
+        return found.drop("klass", "part", "h", "low", "high")
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:
@@ -102,41 +118,36 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not commit {source} as {target}")
 
 
-def compact(rows: DataFrame, target: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Rewrite ``rows`` (path, x and any other columns) as few even files under ``target``; return them as read back.
+def compact(rows: DataFrame, listed: DataFrame, target: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Rewrite the listed ``rows`` (path, x) as few even files under ``target``; return path, x, bin as read back.
 
-    One row is kept for each path. Rows with null path or x are left out. An empty
-    input commits a folder with one empty file. Raises, and commits nothing, if a
-    bin's rows or checksums differ from the frozen manifest; ``target`` must not exist.
+    One row is kept for each path of ``listed`` that has a signal. Rows with null path
+    or x are left out, other columns are not carried. No row at all commits one empty
+    file. Raises, and commits nothing, if a bin's rows or checksums differ from the
+    frozen manifest; ``target`` must not exist.
     """
     spark = rows.sparkSession
-    rows = rows.where("path IS NOT NULL AND x IS NOT NULL")
-    bins, n_bins = assign_bins(freeze(rows), target_bytes)
+    rows = rows.where("path IS NOT NULL AND x IS NOT NULL").select("path", "x")
+    manifest = freeze(rows, listed)
+    bins = Bins(manifest, target_bytes)
+    frozen = cut(bins.place(manifest))
     staging = target + ".staging"
-    names = [c for c in rows.columns if c not in ("bin", "bytes", "checksum")]
-    first = Window.partitionBy("path").orderBy("checksum")
-    chosen = (
-        rows.select(*names, F.xxhash64("path", "x").alias("own"))
-        .join(bins.select("path", "checksum", "bin"), "path")
-        .where("own = checksum")
-        .withColumn("nth", F.row_number().over(first))
-        .where("nth = 1")
-    )
-    chosen.select(*names, "bin").repartitionById(n_bins, F.col("bin")).write.parquet(staging)
-    written = spark.read.parquet(staging)
+    signal = bins.place(rows.withColumn("bytes", _bytes())).select("bin", "path", F.xxhash64("path", "x").alias("checksum"), "x", F.lit(False).alias("frozen"))
+    wanted = frozen.select("bin", "path", "checksum", F.lit(None).cast(rows.schema["x"].dataType).alias("x"), F.lit(True).alias("frozen"))
+    same = Window.partitionBy("bin", "path", "checksum").orderBy(F.desc("frozen"))
+    tagged = signal.unionByName(wanted).repartitionById(bins.count, F.col("bin"))
+    # the manifest's row comes first; the signal row right behind it is the one that is kept
+    chosen = tagged.withColumn("nth", F.row_number().over(same)).withColumn("known", F.first("frozen").over(same)).where("known AND nth = 2")
+    chosen.select("path", "x", "bin").write.parquet(staging)
     check = lambda df: df.groupBy("bin").agg(F.count("*").alias("n"), F.bit_xor("checksum").alias("checksum"))
-    expected = check(bins)
-    actual = check(written.select("bin", F.xxhash64("path", "x").alias("checksum")))
-    wrong = expected.join(actual.withColumnsRenamed({"n": "n2", "checksum": "c2"}), "bin", "full").where(
-        "NOT (n <=> n2) OR NOT (checksum <=> c2)"
-    )
+    actual = check(spark.read.parquet(staging).select("bin", F.xxhash64("path", "x").alias("checksum")))
+    wrong = check(frozen).join(actual.withColumnsRenamed({"n": "n2", "checksum": "c2"}), "bin", "full").where("NOT (n <=> n2) OR NOT (checksum <=> c2)")
     if bad := wrong.count():
-        raise ValueError(f"{bad} of {n_bins} bins differ from the manifest; {staging} is not committed")
+        raise ValueError(f"{bad} of {bins.count} bins differ from the manifest; {staging} is not committed")
     _rename(spark, staging, target)
     return spark.read.parquet(target)
 
 
 def file_report(compacted: DataFrame) -> DataFrame:
     """One row per consolidated file: bin, records and payload bytes."""
-    size = F.aggregate("x", F.lit(0).cast("bigint"), lambda n, c: n + F.coalesce(F.size(c), F.lit(0)).cast("bigint")) * 4
-    return compacted.groupBy("bin").agg(F.count("*").alias("records"), F.sum(size).alias("bytes"))
+    return compacted.groupBy("bin").agg(F.count("*").alias("records"), F.sum(_bytes()).alias("bytes"))

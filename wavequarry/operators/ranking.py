@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,19 +14,29 @@ from wavequarry.session import cut, small_side
 RANKED_ROWS = 200_000
 
 
+def hash_order(key: str) -> Column:
+    """The place of ``key`` in hash order, not negative."""
+    return F.shiftrightunsigned(F.xxhash64(key), 1)
+
+
+def hash_part(order: Column, total: int) -> Column:
+    """The part of the hash order that a row belongs to, as many parts as ``total`` rows need."""
+    parts = max(1, math.ceil(total / RANKED_ROWS))
+    return F.least(F.floor(order / F.lit(float(1 << 63)) * parts), F.lit(parts - 1)).cast("int")
+
+
 def rank_in_class(rows: DataFrame, klass: str, key: str, total: int) -> tuple[DataFrame, list[tuple]]:
-    """``rows`` with a ``rank`` from 0 within their class, and the (class, count) list.
+    """``rows`` with ``h``, ``part`` and the ``rank`` from 0 in hash order within their class, and the (class, count) list.
 
-    A class is ranked in as many salted parts as ``total`` rows need; a part's ranks
-    start where the parts before it end, so no task holds a whole hot class. The
-    classes must be few: their counts go to the driver. ``key`` must be unique.
+    A class is ranked in as many parts of the hash order as ``total`` rows need; a
+    part's ranks start where the parts before it end, so no task holds a whole hot
+    class. The classes must be few: their counts go to the driver. ``key`` must be unique.
     """
-    salt = F.pmod(F.xxhash64(key), F.lit(max(1, math.ceil(total / RANKED_ROWS)))).cast("int")
-    salted = rows.withColumn("salt", salt)
-    parts = cut(salted.groupBy(klass, "salt").count())
+    ordered = rows.withColumn("h", hash_order(key)).withColumn("part", hash_part(F.col("h"), total))
+    parts = cut(ordered.groupBy(klass, "part").count())
     counts = [tuple(r) for r in parts.groupBy(klass).agg(F.sum("count")).collect()]
-    before = Window.partitionBy(klass).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(klass, "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy(klass, "salt").orderBy(F.xxhash64(key), key)) - 1)
-    ranked = ranked.join(small_side(offsets), [klass, "salt"])
-    return ranked.withColumn("rank", F.col("rank") + F.col("offset")).drop("salt", "offset"), counts
+    before = Window.partitionBy(klass).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(klass, "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    ranked = ordered.withColumn("rank", F.row_number().over(Window.partitionBy(klass, "part").orderBy("h", key)) - 1)
+    ranked = ranked.join(small_side(offsets), [klass, "part"])
+    return ranked.withColumn("rank", F.col("rank") + F.col("offset")).drop("offset"), counts

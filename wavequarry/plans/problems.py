@@ -21,7 +21,7 @@ def compacted_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored train records, consolidated into even files in the shared folder."""
     listed = listed_paths(load(spark, sf_dir, "train"))
     rows = stored_rows(load(spark, sf_dir, "segments")).select("path", "x")
-    return compact(rows.join(listed, "path", "left_semi"), scratch_path(spark, "train"))
+    return compact(rows, listed, scratch_path(spark, "train"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
