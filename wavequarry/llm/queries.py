@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavequarry.functions.paths import dataset_of, record_path, subject_no
-from wavequarry.llm import mixing, overlap, split_groups
+from wavequarry.llm import mixing, overlap, split_groups, tokenizer
 from wavequarry.operators.records import listed_paths, splits, stored_rows
 from wavequarry.session import cut, load
 
@@ -71,6 +71,11 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir)[1]
 
 
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document's text."""
+    return tokenizer.encode_corpus(load(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_report": p2_report,
@@ -80,5 +85,6 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_mixture": p5_mixture,
     "p5_shares": p5_shares,
+    "p6_ids": p6_ids,
 }
 ORACLE: dict[str, str] = {}
