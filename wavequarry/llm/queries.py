@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavequarry.functions.paths import dataset_of, record_path, subject_no
-from wavequarry.llm import mixing, overlap, split_groups, tokenizer
+from wavequarry.llm import leakage, mixing, overlap, split_groups, tokenizer, truncation
 from wavequarry.operators.records import listed_paths, splits, stored_rows
 from wavequarry.session import cut, load
 
@@ -76,6 +76,28 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer.encode_corpus(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least half of an evaluation item, with the item."""
+    return leakage.leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per evaluation suite: items that leaked, documents that hold them and the mean share held."""
+    found = leakage.leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
+    suites = load(spark, sf_dir, "eval_items").select("item_id", "suite")
+    return found.join(suites, "item_id").groupBy("suite").agg(F.count_distinct("item_id").alias("items"), F.count_distinct("doc_id").alias("documents"), F.avg("share").alias("mean_share"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was cut."""
+    return truncation.truncated(load(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source cuts its texts."""
+    return truncation.truncation_rates(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_report": p2_report,
@@ -86,5 +108,9 @@ QUERIES = {
     "p5_mixture": p5_mixture,
     "p5_shares": p5_shares,
     "p6_ids": p6_ids,
+    "p7_found": p7_found,
+    "p7_report": p7_report,
+    "p8_found": p8_found,
+    "p8_rates": p8_rates,
 }
 ORACLE: dict[str, str] = {}
