@@ -39,31 +39,29 @@ def path_features(path: Column, size: Column) -> Column:
 
 
 def fit_classifier(labelled: DataFrame) -> DataFrame:
-    """(token, label, loglik) of a naive Bayes classifier over ``labelled`` (label, features, weight).
+    """(token, label, gain, base, prior) of a naive Bayes classifier over ``labelled`` (label, features, weight).
 
-    The first token of a record also carries the label's prior. Every pair of a
-    seen token and a label has a row, so tables stay as small as the vocabulary.
+    Only pairs that occur have a row: ``base`` is the log-likelihood of a token the
+    label never had, ``gain`` what the token's own count adds to it.
     """
     tokens = labelled.select("label", "weight", F.explode("features").alias("token"))
-    counts = cut(tokens.groupBy("label", "token").agg(F.sum("weight").alias("n")))
+    counts = tokens.groupBy("label", "token").agg(F.sum("weight").alias("n"))
     priors = labelled.groupBy("label").agg(F.sum("weight").alias("total"))
-    vocabulary = counts.select("token").distinct()
-    everything = vocabulary.join(F.broadcast(priors))  # labels are few: the domains of the mixture
-    seen = everything.join(counts, ["token", "label"], "left")
-    return seen.select("token", "label", F.log((F.coalesce("n", F.lit(0.0)) + SMOOTHING) / (F.col("total") + SMOOTHING)).alias("loglik"), F.log("total").alias("prior"))
+    base = F.log(F.lit(SMOOTHING) / F.col("total"))
+    seen = F.log((F.col("n") + SMOOTHING) / F.col("total"))
+    return counts.join(priors, "label").select("token", "label", (seen - base).alias("gain"), base.alias("base"), F.log("total").alias("prior"))
 
 
 def posteriors(groups: DataFrame, model: DataFrame) -> DataFrame:
-    """(profile, label, posterior) of ``groups`` (profile, features); unseen tokens say nothing.
+    """(profile, label, posterior) of ``groups`` (profile, features); tokens that no label had say nothing.
 
-    A profile without any seen token gets no row.
+    A profile none of whose tokens is known gets no row, a label that shares no token
+    with it posterior zero.
     """
-    scored = (
-        groups.select("profile", F.explode("features").alias("token"))
-        .join(small_side(cut(model)), "token")
-        .groupBy("profile", "label")
-        .agg((F.sum("loglik") + F.max("prior")).alias("score"))
-    )
+    known = groups.select("profile", F.explode("features").alias("token")).join(small_side(cut(model)), "token")
+    tokens = known.groupBy("profile").agg(F.count_distinct("token").alias("tokens"))
+    score = F.sum("gain") + F.max("tokens") * F.max("base") + F.max("prior")
+    scored = cut(known.join(tokens, "profile").groupBy("profile", "label").agg(score.alias("score")))
     best = scored.groupBy("profile").agg(F.max("score").alias("best"))
     raw = scored.join(best, "profile").withColumn("p", F.exp(F.col("score") - F.col("best")))
     total = raw.groupBy("profile").agg(F.sum("p").alias("total"))

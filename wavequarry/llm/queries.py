@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wavequarry.functions.paths import dataset_of, record_path, subject_no
 from wavequarry.llm import leakage, mixing, overlap, split_groups, tokenizer, truncation
@@ -44,13 +45,16 @@ def p4_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records and share of each split after the assignment."""
-    counts = cut(p4_split(spark, sf_dir).groupBy("new_split").agg(F.count("*").alias("records")))
-    return counts.join(F.broadcast(counts.agg(F.sum("records").alias("total")))).select("new_split", "records", (F.col("records") / F.col("total")).alias("share"))
+    counts = p4_split(spark, sf_dir).groupBy("new_split").agg(F.count("*").alias("records"))
+    total = F.sum("records").over(Window.partitionBy(F.lit(1)))  # one row per split
+    return counts.withColumn("share", F.col("records") / total)
 
 
 def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     path = record_path(F.col("path"))
-    label = F.max(F.when(F.col("dataset") == dataset_of(path), F.col("dataset"))).alias("label")
+    spelling = lambda c: F.translate(F.lower(c), "-", "_")
+    # a label that is the folder's name, but for its spelling, is a sure one; the others are left to the classifier
+    label = F.max(F.when(spelling(F.col("dataset")) == spelling(dataset_of(path)), dataset_of(path))).alias("label")
     train = load(spark, sf_dir, "train").groupBy(path.alias("path")).agg(label).where("path IS NOT NULL")
     sizes = stored_rows(load(spark, sf_dir, "segments")).groupBy("path").agg(F.max(F.size("x")).alias("size"))
     return mixing.mix(train.join(sizes, "path"), load(spark, sf_dir, "mix_targets"))

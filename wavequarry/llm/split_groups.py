@@ -58,11 +58,16 @@ def record_entities(path: Column) -> Column:
 
 
 def group_records(records: DataFrame, entities: Column) -> DataFrame:
-    """``records`` with the ``component`` that their entities belong to; a record without entities is left out."""
-    keyed = records.withColumn("entities", entities).where("size(entities) > 0").withColumn("key", F.element_at("entities", 1))
+    """``records`` with the ``component`` that their entities belong to.
+
+    A record without entities is left out; a column ``component`` of the records
+    themselves is replaced, all others are kept whatever their names.
+    """
+    rows = records.drop("component")
+    keyed = rows.select(F.struct("*").alias("row"), entities.alias("entities")).where("size(entities) > 0").withColumn("key", F.element_at("entities", 1))
     edges = keyed.select(F.col("key").alias("a"), F.explode("entities").alias("b")).distinct()
     found = components(edges).select(F.col("node").alias("key"), F.col("root").alias("component"))
-    return keyed.join(found, "key").drop("key", "entities")
+    return keyed.join(found, "key").select("row.*", "component")
 
 
 def closest_subset(sizes: list[tuple[int, float, int]], target: float, resolution: int = RESOLUTION) -> dict[int, int]:
@@ -106,7 +111,9 @@ def assign_splits(grouped: DataFrame, shares: dict[str, float]) -> DataFrame:
     Shares are taken relative to their sum; splits are filled from the smallest to
     the largest, which takes the rest. An empty input gives an empty result.
     """
-    spark = grouped.sparkSession
+    if not shares or min(shares.values()) < 0 or sum(shares.values()) <= 0:
+        raise ValueError("shares must not be negative, and one must be positive")
+    spark, grouped = grouped.sparkSession, grouped.drop("new_split")
     sized = grouped.groupBy("component").agg(F.count("*").alias("size"))
     octave = F.round(F.log2("size") * 64)
     sized = cut(sized.withColumn("klass", F.when(F.col("size") <= EXACT_SIZES, F.col("size")).otherwise(EXACT_SIZES + octave).cast("int")))
