@@ -28,7 +28,7 @@ def run_report(results: DataFrame) -> DataFrame:
 def first_failures(results: DataFrame, limit: int = 10) -> DataFrame:
     """The first failed files by name, with the number of all failures beside them."""
     failed = results.where(~F.coalesce("success", F.lit(False))).select("file", "error").distinct()
-    return failed.join(failed.agg(F.count("*").alias("failures"))).orderBy("file", "error").limit(limit)
+    return failed.orderBy("file", "error").limit(limit).withColumn("failures", F.lit(failed.count()).cast("bigint"))
 
 
 def resume_state(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
