@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavequarry.functions.paths import dataset_of
+from wavequarry.operators.ranking import rank_in_class
 from wavequarry.session import cut, small_side
 
 #: Additive smoothing of the classifier's counts.
@@ -102,9 +103,9 @@ def mix(records: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``records`` has path, label (null where it is missing or in doubt) and size, one
     row per record; ``targets`` has dataset, target_share and max_repeats; null
     shares count as 0, null limits as 1. A record's domain is the label with the
-    largest posterior. Whole copies of a rate are given to every record, its
-    fraction to the records whose hash lies below it, so no record exceeds the limit
-    of its domain. The report has target size, own size, the limit, the reached
+    largest posterior. The records of a domain take copies in hash order as their
+    running rate passes whole numbers, so the domain's total comes out as fitted and no
+    record exceeds the limit of its domain. The report has target size, own size, the limit, the reached
     size and share, and ``short``: the target exceeds what the limit allows.
     """
     profile = F.xxhash64("features")
@@ -124,10 +125,10 @@ def mix(records: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = domain.join(rates, "profile", "left")
     limits = wanted.select(F.col("label").alias("domain"), "max_repeats")
     placed = featured.select("path", "size", "profile").join(small_side(cut(known)), "profile", "left").join(F.broadcast(limits), "domain", "left")
-    chance = F.pmod(F.xxhash64("path"), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.coalesce("rate", F.lit(0.0))
-    copies = F.least(F.floor(rate) + (chance < rate - F.floor(rate)).cast("bigint"), F.coalesce("max_repeats", F.lit(0)))
-    mixture = cut(placed.select("path", "domain", "size", copies.cast("int").alias("copies")))
+    placed = cut(placed.select("path", "size", F.coalesce("domain", F.lit("")).alias("domain"), F.coalesce("rate", F.lit(0.0)).alias("rate"), F.coalesce("max_repeats", F.lit(0)).alias("cap")))
+    ranked, _ = rank_in_class(placed, "domain", "path", placed.count())
+    copies = F.floor((F.col("rank") + 1) * F.col("rate") + 1e-9) - F.floor(F.col("rank") * F.col("rate") + 1e-9)
+    mixture = cut(ranked.select("path", F.nullif("domain", F.lit("")).alias("domain"), "size", F.least(copies, F.col("cap")).cast("int").alias("copies")))
     reached = mixture.groupBy(F.col("domain").alias("label")).agg(F.sum("size").alias("own"), F.sum(F.col("size") * F.col("copies")).alias("reached"))
     whole = F.lit(max(1, mixture.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0))).first()[0]))
     report = (
