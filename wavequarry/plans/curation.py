@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from wavequarry.functions import bids
 from wavequarry.functions.numeric import bf16, human_size
 from wavequarry.operators import coords, manifest, precision, reports, resample, windowing
-from wavequarry.session import load
+from wavequarry.session import load, scratch_path
+from wavequarry.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -199,9 +200,9 @@ def invalid_channel_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH c AS (SELECT p_partkey, p_size % 3 AS kind, CASE WHEN contains(p_type, 'STEEL') THEN 'VV_MAG_T1' WHEN contains(p_type, 'TIN') THEN 'VV_PLANAR_T1' ELSE 'AXIAL_5CM' END AS coil, p_size AS s FROM part)
+    """WITH c AS (SELECT p_partkey, p_size % 3 AS kind, CASE WHEN contains(p_type, 'STEEL') THEN 'VV_MAG_T1' WHEN contains(p_type, 'TIN') THEN 'VV_PLANAR_T1' ELSE 'AXIAL_5CM' END AS coil, CAST(p_size AS DOUBLE) AS s FROM part)
 SELECT p_partkey, CAST(CASE WHEN kind = 1 THEN CASE WHEN contains(coil, 'MAG') THEN 1 ELSE 2 END ELSE 0 END AS INTEGER) AS sensor_type,
-  s + 0.5 AS x, s + 1.0 AS y, s + 1.5 AS z, CAST(CASE WHEN kind <> 1 THEN 0 WHEN contains(coil, 'PLANAR') THEN s + 2.0 ELSE s + 5.0 END AS DOUBLE) AS dx,
+  s + 0.5 :: DOUBLE AS x, s + 1.0 :: DOUBLE AS y, s + 1.5 :: DOUBLE AS z, CAST(CASE WHEN kind <> 1 THEN 0 WHEN contains(coil, 'PLANAR') THEN s + 2.0 ELSE s + 5.0 END AS DOUBLE) AS dx,
   CAST(CASE WHEN kind <> 1 THEN 0 WHEN contains(coil, 'PLANAR') THEN s + 3.0 ELSE s + 6.0 END AS DOUBLE) AS dz FROM c"""
 )
 def sensor_type_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -512,3 +513,18 @@ def union_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [paths.where(F.endswith("path", F.lit(e))) for e in (".fif", ".vhdr")] + [load(spark, sf_dir, "results").select(F.col("file").alias("path"))]
     whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return whole.groupBy(F.element_at(F.split("path", r"\."), -1).alias("ext")).agg(F.count("*").alias("n"))
+
+
+# --- streaming -------------------------------------------------------------
+
+
+@query(
+    """SELECT split_part(path, '/', 4) AS source, count(*) AS rows, count(*) FILTER (landed_at > written_at + INTERVAL 1 HOUR) AS late
+FROM segments WHERE path IS NOT NULL GROUP BY 1"""
+)
+def landing_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and late rows per source, counted by a stream over the segment files."""
+    stream = ingest.segment_stream(spark, f"{sf_dir}/segments.parquet*", load(spark, sf_dir, "segments").schema)
+    target = scratch_path(spark, "landings")
+    ingest.ingest_batches(ingest.landing_counts(stream.select("source", "landed_at", "written_at")), target, scratch_path(spark, "landings-checkpoint"))
+    return spark.read.parquet(target).groupBy("source").agg(F.sum("rows").alias("rows"), F.sum("late").alias("late"))
