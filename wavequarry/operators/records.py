@@ -9,6 +9,13 @@ from wavequarry.functions.paths import dataset_of, record_path
 from wavequarry.session import load
 
 
+#: The canonical path in DuckDB's SQL, for tests; it resolves one level of ``x/..``.
+RECORD_PATH_SQL = (
+    "CASE WHEN regexp_matches(path, '(^|/)curated/') THEN regexp_replace(regexp_replace(regexp_replace("
+    "'/data/curated/' || regexp_extract(path, '(?:^|/)curated/+(.*)$', 1), '/(\\./)+', '/', 'g'), '/+', '/', 'g'), '/[^/]+/\\.\\./', '/', 'g') END"
+)
+
+
 def listed_paths(manifest: DataFrame) -> DataFrame:
     """Distinct canonical paths of a manifest; rows whose path is null or not a record's are left out."""
     return manifest.select(record_path(F.col("path")).alias("path")).where("path IS NOT NULL").distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavequarry.operators.compaction import compact
-from wavequarry.operators.records import listed_paths, stored_rows
+from wavequarry.operators.records import RECORD_PATH_SQL, listed_paths, stored_rows
 from wavequarry.operators.spikes import implausible_channels
 from wavequarry.session import load, scratch_path
 
@@ -30,4 +30,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p3_found": p3_found}
-ORACLE: dict[str, str] = {}
+
+ORACLE = {
+    "p3_found": f"""SELECT DISTINCT {RECORD_PATH_SQL} AS path FROM train WHERE {RECORD_PATH_SQL} IN (SELECT {RECORD_PATH_SQL} FROM segments WHERE x IS NOT NULL)""",
+}
