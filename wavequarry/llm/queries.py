@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from wavequarry.functions.paths import dataset_of, record_path, subject_no
 from wavequarry.llm import leakage, mixing, overlap, split_groups, tokenizer, truncation
-from wavequarry.operators.records import listed_paths, splits, stored_rows
+from wavequarry.operators.records import RECORD_PATH_SQL, splits, stored_rows
 from wavequarry.session import cut, load
 
 
@@ -117,4 +117,11 @@ QUERIES = {
     "p8_found": p8_found,
     "p8_rates": p8_rates,
 }
-ORACLE: dict[str, str] = {}
+
+ORACLE = {
+    "p4_found": f"""WITH r AS (SELECT 'train' AS split, {RECORD_PATH_SQL} AS path FROM train UNION ALL SELECT 'val', {RECORD_PATH_SQL} FROM val UNION ALL SELECT 'test', {RECORD_PATH_SQL} FROM test)
+SELECT split_part(path, '/', 4) AS dataset, CAST(regexp_extract(path, '/sub-([0-9]+)/', 1) AS BIGINT) AS subject_no FROM r WHERE path IS NOT NULL GROUP BY ALL HAVING count(DISTINCT split) > 1""",
+    "p5_found": f"""WITH l AS (SELECT DISTINCT {RECORD_PATH_SQL} AS path FROM train), s AS (SELECT {RECORD_PATH_SQL} AS path, max(len(x)) AS n FROM segments WHERE x IS NOT NULL GROUP BY 1),
+  r AS (SELECT split_part(path, '/', 4) AS dataset, n FROM s JOIN l USING (path)), own AS (SELECT dataset, sum(n) AS n FROM r GROUP BY dataset)
+SELECT t.dataset FROM mix_targets t LEFT JOIN own USING (dataset) WHERE t.target_share * (SELECT sum(n) FROM r) > t.max_repeats * coalesce(own.n, 0)""",
+}
