@@ -124,4 +124,5 @@ SELECT split_part(path, '/', 4) AS dataset, CAST(regexp_extract(path, '/sub-([0-
     "p5_found": f"""WITH l AS (SELECT DISTINCT {RECORD_PATH_SQL} AS path FROM train), s AS (SELECT {RECORD_PATH_SQL} AS path, max(len(x)) AS n FROM segments WHERE x IS NOT NULL GROUP BY 1),
   r AS (SELECT split_part(path, '/', 4) AS dataset, n FROM s JOIN l USING (path)), own AS (SELECT dataset, sum(n) AS n FROM r GROUP BY dataset)
 SELECT t.dataset FROM mix_targets t LEFT JOIN own USING (dataset) WHERE t.target_share * (SELECT sum(n) FROM r) > t.max_repeats * coalesce(own.n, 0)""",
+    "p8_found": truncation.TRUNCATED_SQL,
 }

@@ -148,3 +148,39 @@ def truncation_rates(documents: DataFrame) -> DataFrame:
     found = truncated(documents).groupBy("source").agg(F.count("*").alias("cut"))
     share = F.col("cut") / F.col("texts")
     return texts.join(found, "source", "left").select("source", "texts", F.coalesce("cut", F.lit(0)).alias("cut"), F.coalesce(share, F.lit(0.0)).alias("share"))
+
+
+#: The same result in DuckDB's SQL, for tests.
+TRUNCATED_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(text,
+    '[\p{{Cf}}\x{{FE00}}-\x{{FE0F}}]', '', 'g'), '\.{{3,}}', '…', 'g'), '([\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])', ' \1 ', 'g'),
+    '(?:[\p{{L}}\p{{N}}]\p{{M}}*)+|[^\s\p{{Z}}\p{{C}}\p{{L}}\p{{N}}\p{{M}}]') AS raw FROM documents WHERE text IS NOT NULL),
+  s AS (SELECT doc_id, source, raw, len(raw) AS n, list_transform(raw, lambda w: CASE WHEN regexp_full_match(w, '\p{{N}}+') THEN '<n>' WHEN regexp_matches(w, '^\p{{Lu}}') THEN '<N>' ELSE lower(w) END) AS t
+    FROM d WHERE len(raw) > 0),
+  g AS (SELECT source, CASE WHEN i > 2 THEN t[i - 2] ELSE '' END AS a, CASE WHEN i > 1 THEN t[i - 1] ELSE '' END AS b, t[i] AS c, CASE WHEN i < n THEN t[i + 1] END AS nx
+    FROM (SELECT source, t, n, unnest(range(1, n + 1)) AS i FROM s)),
+  marks AS (SELECT c AS m FROM g WHERE NOT regexp_matches(c, '^[<\p{{L}}\p{{N}}]') AND c <> '…' GROUP BY c HAVING count(*) FILTER (nx IS NULL) >= {MARK_RATE} * count(*)),
+  q AS (SELECT source, a, b, c, CASE WHEN c IN ('<n>', '<N>') THEN c WHEN regexp_matches(c, '^\p{{Han}}') THEN '<h>' WHEN regexp_matches(c, '^\p{{L}}') THEN '<w>' ELSE c END AS kind,
+    count(nx) AS internal, count(*) - count(nx) AS terminal, count(m) AS closed FROM g LEFT JOIN marks ON nx = m GROUP BY ALL),
+  l AS (SELECT doc_id, source, n, t, t[-1] = '…' AS dotted, n - (CASE WHEN t[-1] = '…' AND n > 1 THEN 1 ELSE 0 END) AS e, raw FROM s),
+  z AS (SELECT doc_id, source, dotted, raw[e] AS last, t[e] AS c, CASE WHEN e > 1 THEN t[e - 1] ELSE '' END AS b, CASE WHEN e > 2 THEN t[e - 2] ELSE '' END AS a,
+    CASE WHEN t[e] IN ('<n>', '<N>') THEN t[e] WHEN regexp_matches(t[e], '^\p{{Han}}') THEN '<h>' WHEN regexp_matches(t[e], '^\p{{L}}') THEN '<w>' ELSE t[e] END AS kind FROM l),
+  s3 AS (SELECT source, c, b, a, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL), s2 AS (SELECT source, c, b, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL),
+  s1 AS (SELECT source, c, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL), s0 AS (SELECT source, kind, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL),
+  a3 AS (SELECT c, b, a, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL), a2 AS (SELECT c, b, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL),
+  a1 AS (SELECT c, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL), a0 AS (SELECT kind, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL),
+  o AS (SELECT source, sum(terminal) / sum(terminal + internal) > {HEADLINE_RATE} AS headlines FROM q WHERE c <> '…' AND c NOT IN (SELECT m FROM marks) GROUP BY source),
+  w AS (SELECT lower(v) AS v, count(*) AS n FROM (SELECT unnest(raw[1 : greatest(n - 2, 0)]) AS v FROM s) WHERE regexp_matches(v, '^\p{{L}}') AND NOT regexp_matches(v, '^\p{{Han}}') GROUP BY 1),
+  p AS (SELECT substring('^' || v, greatest(i - {LETTERS - 2}, 1) :: BIGINT, least(i + 1, {LETTERS}) :: BIGINT) AS ending, n, i < length(v) AS inner_ FROM (SELECT v, n, unnest(range(1, length(v) + 1)) AS i FROM w)),
+  e AS (SELECT ending, coalesce(sum(n) FILTER (inner_), 0) AS inside, coalesce(sum(n) FILTER (NOT inner_), 0) AS ends FROM p GROUP BY ending),
+  r AS (SELECT z.*, m IS NULL AS open_, coalesce(headlines, false) AS headlines, coalesce(s3.i, 0) AS seen, coalesce(inside, 0) AS inside, ends,
+    greatest(coalesce(s0.t, 0) - 1, 0) AS t0, coalesce(s0.i, 0) AS i0, greatest(coalesce(s1.t, 0) - 1, 0) AS t1, coalesce(s1.i, 0) AS i1,
+    greatest(coalesce(s2.t, 0) - 1, 0) AS t2, coalesce(s2.i, 0) AS i2, greatest(coalesce(s3.t, 0) - 1, 0) AS t3, coalesce(s3.i, 0) AS i3,
+    coalesce(a0.h, 0) AS h0, coalesce(a0.i, 0) AS j0, coalesce(a1.h, 0) AS h1, coalesce(a1.i, 0) AS j1, coalesce(a2.h, 0) AS h2, coalesce(a2.i, 0) AS j2, coalesce(a3.h, 0) AS h3, coalesce(a3.i, 0) AS j3
+    FROM z LEFT JOIN s3 USING (source, c, b, a) LEFT JOIN s2 USING (source, c, b) LEFT JOIN s1 USING (source, c) LEFT JOIN s0 USING (source, kind)
+    LEFT JOIN a3 USING (c, b, a) LEFT JOIN a2 USING (c, b) LEFT JOIN a1 USING (c) LEFT JOIN a0 USING (kind) LEFT JOIN o USING (source) LEFT JOIN marks ON z.c = m
+    LEFT JOIN e ON e.ending = CASE WHEN regexp_matches(last, '^\p{{L}}') AND NOT regexp_matches(last, '^\p{{Han}}')
+      THEN substring('^' || lower(last), greatest(length(last) - {LETTERS - 2}, 1) :: BIGINT, least(length(last) + 1, {LETTERS}) :: BIGINT) END),
+  f AS (SELECT *, CASE WHEN NOT dotted AND open_ THEN (t3 + {BACKOFF} * (t2 + {BACKOFF} * (t1 + {BACKOFF} * (t0 / greatest(t0 + i0, 1))) / (t1 + i1 + {BACKOFF})) / (t2 + i2 + {BACKOFF})) / (t3 + i3 + {BACKOFF}) END AS end_rate,
+    CASE WHEN dotted THEN (h3 + {BACKOFF} * (h2 + {BACKOFF} * (h1 + {BACKOFF} * (h0 / greatest(j0, 1))) / (j1 + {BACKOFF})) / (j2 + {BACKOFF})) / (j3 + {BACKOFF}) END AS close_rate,
+    CASE WHEN open_ AND inside >= {LETTERS_SEEN} THEN ends / (inside + ends) END AS letter_rate FROM r)
+SELECT doc_id FROM f WHERE CASE WHEN headlines THEN end_rate < {HEADLINE_END_RATE} AND seen >= {HEADLINE_SEEN} ELSE end_rate < {END_RATE} END OR close_rate < {CLOSE_RATE} OR letter_rate < {LETTER_RATE}"""
