@@ -22,7 +22,7 @@ from wavequarry.functions.signals import channel_groups
 from wavequarry.session import arrow_batches, cut, small_side
 
 #: A channel's radius and peak value are an outburst beyond this multiple of its source's tail quantile.
-MARGIN = 1.65
+MARGIN = 1.7
 TAIL = 0.99
 ROUNDS = 3
 #: A difference is "zero" below this share of the source's robust spread of differences.

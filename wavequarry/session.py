@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +52,30 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return df
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per Spark application.
+
+    The zip lies in the shared folder where that is a mounted one, else Spark's file
+    server hands out the driver's copy.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_wavequarry_shipped", False):
+        return
+    folder = re.sub("^file:/+", "/", shared_folder(spark))
+    folder = tempfile.mkdtemp(prefix="spark-wavequarry-") if "://" in folder else folder
+    os.makedirs(folder, exist_ok=True)
+    file = f"{folder}/wavequarry-{uuid.uuid4().hex}.zip"
+    package = Path(__file__).resolve().parent
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(file)
+    context._wavequarry_shipped = True
+
+
 def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "16m") -> None:
-    """Bound the Arrow batches that go to Python workers (signals are wide rows)."""
+    """Bound the Arrow batches that go to Python workers (signals are wide rows), and see to it that these have the package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavequarry.functions.bids import parent_dir
+from wavequarry.session import arrow_batches
 
 #: Sample formats of the header and what a unit is in volts.
 FORMATS = {"INT_16": "<i2", "INT_32": "<i4", "IEEE_FLOAT_32": "<f4"}
@@ -72,7 +73,7 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_brainvision(spark: SparkSession, root: str, recordings: DataFrame) -> DataFrame:
     """(rec, names, rate, signal, error) of the header files among ``recordings`` (rec, path) below ``root``; a broken one is a row with its error."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    arrow_batches(spark, rows=1)
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{vhdr,eeg,dat}").load(root)
     files = binary.select(F.regexp_replace("path", r"^file:", "").alias("path"), "content")
     headers = files.join(recordings.where(F.endswith("path", F.lit(".vhdr"))).select("rec", "path"), "path")
