@@ -81,8 +81,7 @@ def test_array_form_is_the_relational_form(spark):
     rows = spark.createDataFrame([("r", c, kinds[c], x[c].tolist()) for c in range(6)], "rec string, ch int, type int, samples array<double>")
     long = windowing.average_reference(windowing.long_signals(rows))
     stats = windowing.segment_stats(windowing.into_windows(long, spark.createDataFrame([("r", 40)], "rec string, n int"), 16, 8))
-    recordings = spark.createDataFrame([("r", x.tolist(), kinds)], "rec string, signal array<array<double>>, sensor_type array<int>")
-    segments = {r["win_idx"]: np.array(r["x"]) for r in windowing.segment_recordings(recordings, 16, 8).collect()}
+    segments = {r["win_idx"]: np.array(r["x"]) for r in windowing.segment_channels(rows, 16, 8).collect()}
     assert len(segments) == 4
     for r in stats.collect():
         part = segments[r["win"]][[k == r["type"] for k in kinds]]
@@ -90,12 +89,29 @@ def test_array_form_is_the_relational_form(spark):
         assert abs(part.std(ddof=1) - r["x_std"]) < 2e-2
 
 
-def test_nan_rejects_both_windows_and_numbers_stay_dense(spark):
-    x = np.random.default_rng(4).normal(size=(2, 40))
-    x[1, 12] = NAN
-    recordings = spark.createDataFrame([("r", x.tolist(), [0, 2]), ("short", [[1.0] * 5], [0]), ("none", None, [0]), ("flat", [[1.0] * 16], [0])], "rec string, signal array<array<double>>, sensor_type array<int>")
-    got = {(r["rec"], r["win_idx"], r["seg_idx"]) for r in windowing.segment_recordings(recordings, 16, 8).collect()}
-    assert got == {("r", 2, 0), ("r", 3, 1), ("flat", 0, 0)}
+@pytest.mark.parametrize(("window", "stride"), [(16, 8), (10, 4), (5, 9)])
+def test_segments_are_those_of_the_plain_loop(spark, window, stride):
+    rng = np.random.default_rng(4)
+    recordings = {}
+    for k in range(6):
+        x, kinds = signal_rows(rng, 30 + 7 * k)
+        for _ in range(k):
+            x[rng.integers(6), rng.integers(x.shape[1])] = rng.choice([NAN, np.inf])
+        recordings[f"r{k}"] = (x, kinds)
+    recordings["short"] = (np.ones((1, 4)), [0])
+    recordings["flat"] = (np.ones((2, window)), [0, 1])
+    rows = [(rec, c, kinds[c], x[c].tolist()) for rec, (x, kinds) in recordings.items() for c in range(len(x))]
+    table = spark.createDataFrame([*rows, ("none", 0, 0, None), ("empty", 0, 0, [])], "rec string, ch int, type int, samples array<double>")
+    got = {(r["rec"], r["win_idx"]): (r["seg_idx"], r["chs"], r["x"]) for r in windowing.segment_channels(table, window, stride).collect()}
+    want = {}
+    for rec, (x, kinds) in recordings.items():
+        seg = 0
+        for win, start in enumerate(range(0, x.shape[1] - window + 1, stride)):
+            part = x[:, start : start + window]
+            if np.isfinite(part).all():
+                want[rec, win] = (seg, list(range(len(x))), windowing.round_bf16(windowing.normalize(part, np.array(kinds))).tolist())
+                seg += 1
+    assert got == want
 
 
 # --- positions

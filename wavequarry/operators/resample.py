@@ -43,12 +43,12 @@ def resample_channels(channels: DataFrame, target: float = RATE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rates, out = [], []
-            for rate, samples in zip(batch.column("rate").to_pylist(), batch.column("samples").to_pylist(), strict=True):
-                if samples and rate and abs(rate - target) > RATE_TOLERANCE:
-                    samples = fft_resample(np.array(samples, dtype=np.float64), int(round(len(samples) * target / rate))).tolist()
-                    rate = float(target)
+            for rate, samples in zip(batch.column("rate").to_pylist(), batch.column("samples"), strict=True):
+                x = None if samples.values is None else samples.values.to_numpy(zero_copy_only=False)
+                if x is not None and len(x) and rate and abs(rate - target) > RATE_TOLERANCE:
+                    x, rate = fft_resample(x.astype(np.float64), int(round(len(x) * target / rate))), float(target)
                 rates.append(rate)
-                out.append(samples)
+                out.append(x)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rec"), batch.column("ch"), pa.array(rates, type=pa.float64()), pa.array(out, type=pa.list_(pa.float64()))],
                 names=["rec", "ch", "rate", "samples"],

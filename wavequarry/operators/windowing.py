@@ -1,8 +1,8 @@
 """Hopping windows, normalisation per sensor type and acceptance of segments.
 
 Two forms of the same operators: a relational one over (rec, ch, type, t, v), which
-SQL can check, and an array one over whole channels, where Spark places recordings
-and NumPy works inside the task. Tests tie them together.
+SQL can check, and an array one over channels, where Spark cuts and places windows and
+NumPy normalises each segment inside the task. Tests tie them together.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wavequarry.functions.signals import matrix, nested
 from wavequarry.session import arrow_batches
 
 #: What is added to the spread of EEG, magnetometers and gradiometers.
@@ -103,42 +104,45 @@ def round_bf16(x: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(x), np.float32(np.nan), rounded.view(np.float32))
 
 
-def _segments(window: int, stride: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, wins, segs, xs = [], [], [], []
-            for rec, signal, kinds in zip(batch.column("rec").to_pylist(), batch.column("signal"), batch.column("sensor_type").to_pylist(), strict=True):
-                x, kinds = np.array(signal.as_py(), dtype=np.float64), np.array(kinds)
-                if x.ndim != 2:
-                    continue
-                seg = 0
-                for win, start in enumerate(range(0, x.shape[1] - window + 1, stride)):
-                    part = normalize(x[:, start : start + window], kinds)
-                    if np.isnan(part).any():
-                        continue
-                    keys.append(rec)
-                    wins.append(win)
-                    segs.append(seg)
-                    xs.append(round_bf16(part).tolist())
-                    seg += 1
-            kind = pa.list_(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, type=batch.column("rec").type), pa.array(wins, type=pa.int32()), pa.array(segs, type=pa.int32()), pa.array(xs, type=kind)],
-                names=["rec", "win_idx", "seg_idx", "x"],
-            )
-
-    return run
-
-
-def segment_recordings(recordings: DataFrame, window: int, stride: int) -> DataFrame:
-    """Normalised, accepted, bfloat16-rounded segments: rec, win_idx, seg_idx, x.
-
-    ``recordings`` has rec, signal (channels by samples) and sensor_type, one row per
-    recording; a recording shorter than a window, or one whose windows all hold NaN or
-    infinite values, gives no row.
+def _normalized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kinds = batch.column("sensor_type")
+        segments = [round_bf16(normalize(matrix(x), k.values.to_numpy(zero_copy_only=False))) for x, k in zip(batch.column("x"), kinds, strict=True)]
+        columns = [batch.column(c) for c in ("rec", "win_idx", "seg_idx", "chs", "sensor_type")]
+        yield pa.RecordBatch.from_arrays([*columns, nested(segments, pa.float32())], names=["rec", "win_idx", "seg_idx", "chs", "sensor_type", "x"])
+
+
+def segment_channels(channels: DataFrame, window: int, stride: int) -> DataFrame:
+    """Normalised, accepted, bfloat16-rounded segments: rec, win_idx, seg_idx, chs, sensor_type, x.
+
+    ``channels`` has rec, ch, type and samples, one row per channel; a recording is as
+    long as its shortest channel. No row ever holds more than a channel or a segment:
+    windows are cut from the channels, and each segment is normalised where its
+    channels meet. A NaN or infinite reading makes its whole sensor group NaN, so
+    windows are rejected, and the others numbered densely, from the raw readings. A
+    recording shorter than a window, or without a clean one, gives no row; channels
+    without samples are ignored.
     """
     check_window(window, stride)
-    arrow_batches(recordings.sparkSession, rows=64)
-    kind = recordings.schema["rec"].dataType.simpleString()
-    rows = recordings.where("signal IS NOT NULL AND sensor_type IS NOT NULL").select("rec", "signal", "sensor_type")
-    return rows.mapInArrow(_segments(window, stride), f"rec {kind}, win_idx int, seg_idx int, x array<array<float>>")
+    arrow_batches(channels.sparkSession, rows=256)
+    rows = channels.where("samples IS NOT NULL AND size(samples) > 0").select("rec", "ch", "type", "samples")
+    wild = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
+    at = F.filter(F.transform("samples", lambda v, i: F.when(wild(v), i)), lambda i: i.isNotNull())
+    first = lambda i: F.greatest(F.lit(0), F.ceil((i - window + 1) / stride)).cast("int")
+    last = lambda i: F.floor(i / stride).cast("int")
+    none = F.expr("cast(array() as array<int>)")  # a reading between two windows rejects neither
+    hit = F.array_distinct(F.flatten(F.transform(at, lambda i: F.when(first(i) <= last(i), F.sequence(first(i), last(i))).otherwise(none))))
+    lengths = rows.groupBy("rec").agg(F.min(F.size("samples")).alias("n"))
+    bad = rows.select("rec", F.explode(hit).alias("win")).distinct().groupBy("rec").agg(F.collect_list("win").alias("bad"))
+    covered = F.filter("bad", lambda w: w < F.col("count"))
+    plan = lengths.join(bad, "rec", "left").withColumn("count", window_count(F.col("n"), window, stride)).where("count > 0")
+    plan = plan.select("rec", "count", F.coalesce(covered, none).alias("bad"))
+    wins = F.filter(F.sequence(F.lit(0), F.col("count") - 1), lambda w: ~F.array_contains("bad", w))
+    cut_out = rows.join(plan, "rec").withColumn("win_idx", F.explode(wins))
+    seg = F.col("win_idx") - F.size(F.filter("bad", lambda b: b < F.col("win_idx")))
+    part = F.slice("samples", F.col("win_idx") * stride + 1, window)
+    pieces = F.array_sort(F.collect_list(F.struct("ch", "type", "part")))
+    whole = cut_out.select("rec", "win_idx", seg.alias("seg_idx"), "ch", "type", part.alias("part")).groupBy("rec", "win_idx", "seg_idx").agg(pieces.alias("p"))
+    named = whole.select("rec", "win_idx", "seg_idx", F.col("p.ch").alias("chs"), F.col("p.type").cast("array<int>").alias("sensor_type"), F.col("p.part").alias("x"))
+    rec, ch = (channels.schema[c].dataType.simpleString() for c in ("rec", "ch"))
+    return named.mapInArrow(_normalized, f"rec {rec}, win_idx int, seg_idx int, chs array<{ch}>, sensor_type array<int>, x array<array<float>>")

@@ -11,24 +11,19 @@ from wavequarry.session import cut
 from wavequarry.sources import brainvision, electrodes, files, sinks
 
 
-def _positions(decoded: DataFrame, places: DataFrame) -> DataFrame:
-    """(rec, chs, failed): the valid channels of a recording in order, with normalised position and sensor type."""
-    channels = decoded.where("error IS NULL").select("rec", F.posexplode("names").alias("ch", "name"))
-    found = channels.join(places, ["rec", "name"], "left").withColumn("valid", ~coords.invalid_coordinate(F.col("x"), F.col("y"), F.col("z")))
+def _positions(channels: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The valid channels with normalised position and sensor type, and per recording whether it keeps enough of them."""
     tables = places.select("rec").distinct().withColumn("placed", F.lit(True))
-    per = windowing.Window.partitionBy("rec")
-    i, n = F.row_number().over(per.orderBy("ch")) - 1, F.count("*").over(per)
-    stand_in = coords.golden_sphere(i, n)
+    found = channels.select("rec", "ch", "name").join(places, ["rec", "name"], "left").join(tables, "rec", "left")
+    per = windowing.Window.partitionBy("rec")  # as many rows as a recording has channels
     # a recording without any electrode table gets stand-in positions
-    known = found.join(tables, "rec", "left")
+    stand_in = coords.golden_sphere(F.row_number().over(per.orderBy("ch")) - 1, F.count("*").over(per))
     for c, s in zip("xyz", stand_in, strict=True):
-        known = known.withColumn(c, F.when(F.col("placed"), F.col(c)).otherwise(s))
-    known = known.withColumn("valid", F.coalesce("placed", F.lit(False)) & F.col("valid") | F.col("placed").isNull()).withColumn("sensor_type", F.lit(coords.EEG))
-    failed = coords.channel_guard(known).select("rec", "failed", "n_valid")
+        found = found.withColumn(c, F.when(F.col("placed"), F.col(c)).otherwise(s))
+    known = found.withColumn("valid", ~coords.invalid_coordinate(F.col("x"), F.col("y"), F.col("z"))).withColumn("sensor_type", F.lit(coords.EEG))
     kept = coords.normalize_positions(known.where("valid"), ["rec"])
     six = F.transform(F.array("xn", "yn", "zn", F.lit(0.0), F.lit(0.0), F.lit(0.0)), lambda v: v.cast("float"))
-    one = F.struct("ch", six.alias("pos"), "sensor_type")
-    return kept.groupBy("rec").agg(F.array_sort(F.collect_list(one)).alias("chs")).join(failed, "rec", "right")
+    return kept.select("rec", "ch", six.alias("pos"), "sensor_type"), coords.channel_guard(known)
 
 
 def segment_dataset(
@@ -49,23 +44,24 @@ def segment_dataset(
     state = cut(reports.resume_state(found, done, "rec"))
     decoded = cut(brainvision.read_recordings(spark, root, state.where("NOT skipped").select("rec", "path")))
     places = electrodes.electrodes_of(state.select("rec", "stem", "dir"), electrodes.read_electrodes(spark, root))
-    placed = cut(_positions(decoded, places))
-    signals = decoded.where("error IS NULL").select("rec", "rate", F.posexplode("signal").alias("ch", "samples"))
-    even = resample.resample_channels(signals, rate).select("rec", "ch", "samples")
-    usable = placed.where("NOT failed").select("rec", F.explode("chs").alias("c")).select("rec", "c.*")
-    rows = F.array_sort(F.collect_list(F.struct("ch", "samples", "pos", "sensor_type")))
-    whole = even.join(usable, ["rec", "ch"]).groupBy("rec").agg(rows.alias("c"))
-    recordings = whole.select("rec", F.col("c.samples").alias("signal"), F.col("c.sensor_type").alias("sensor_type"), F.col("c.pos").alias("pos"))
-    segments = windowing.segment_recordings(recordings, window_s * rate, stride_s * rate)
+    channels = decoded.where("error IS NULL")
+    sensors, guard = _positions(channels, places)
+    guard = cut(guard.select("rec", "failed", "n_valid"))
+    sensors = cut(sensors.join(guard.where("NOT failed").select("rec"), "rec", "left_semi"))
+    even = resample.resample_channels(channels.select("rec", "ch", "rate", "samples"), rate)
+    typed = even.join(sensors.select("rec", "ch", F.col("sensor_type").alias("type")), ["rec", "ch"])
+    segments = windowing.segment_channels(typed.select("rec", "ch", "type", "samples"), window_s * rate, stride_s * rate)
+    layout = sensors.groupBy("rec").agg(F.array_sort(F.collect_list(F.struct("ch", "pos"))).alias("c")).select("rec", F.col("c.pos").alias("pos"))
     name = F.col("rec") if dataset is None else F.lit(dataset)
     label = component_after(F.col("rec"), input_dir.rstrip("/").rsplit("/", 1)[-1]) if dataset is None else name
-    out = segments.join(recordings.select("rec", "pos", "sensor_type"), "rec").withColumn("dataset", label)
+    out = segments.drop("chs").join(layout, "rec").withColumn("dataset", label)
     out = out.withColumn("path", F.concat("rec", F.lit("/"), F.col("seg_idx").cast("string"), F.lit("_data")))
     sinks.write_segments(precision.convert_segments(out).drop("was_bf16"), target)
     counts = spark.read.parquet(target).groupBy("rec").agg(F.count("*").alias("n"), F.max(F.size("x")).alias("n_channels"))
+    length = F.max(F.size("samples") / F.col("rate")).alias("duration_sec")
     results = (
-        state.join(decoded.select("rec", "error", (F.size(F.get("signal", F.lit(0))) / F.col("rate")).alias("duration_sec")), "rec", "left")
-        .join(placed.select("rec", "failed", "n_valid"), "rec", "left")
+        state.join(decoded.groupBy("rec").agg(F.max("error").alias("error"), length), "rec", "left")
+        .join(guard, "rec", "left")
         .join(counts, "rec", "left")
     )
     few = F.format_string("too few valid channels: %d", F.col("n_valid"))

@@ -140,10 +140,7 @@ def recording_window_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def segment_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The array form: normalised, accepted and rounded segments of every recording."""
-    channels = _channels(spark, sf_dir)
-    pairs = F.array_sort(F.collect_list(F.struct("ch", "type", "samples")))
-    recordings = channels.groupBy("rec").agg(pairs.alias("c")).select("rec", F.col("c.samples").alias("signal"), F.col("c.type").alias("sensor_type"))
-    return windowing.segment_recordings(recordings, WINDOW, STRIDE)
+    return windowing.segment_channels(_channels(spark, sf_dir), WINDOW, STRIDE)
 
 
 @query()

@@ -16,7 +16,7 @@ from wavequarry.session import arrow_batches
 #: Sample formats of the header and what a unit is in volts.
 FORMATS = {"INT_16": "<i2", "INT_32": "<i4", "IEEE_FLOAT_32": "<f4"}
 UNITS = {"v": 1.0, "mv": 1e-3, "µv": 1e-6, "uv": 1e-6, "nv": 1e-9, "": 1e-6}
-SCHEMA = "rec string, names array<string>, rate double, signal array<array<double>>, error string"
+SCHEMA = "rec string, ch int, name string, rate double, samples array<double>, error string"
 
 
 def parse_header(text: str) -> dict:
@@ -57,22 +57,23 @@ def decode(header: str, data: bytes) -> tuple[list[str], float, np.ndarray]:
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = {"rec": pa.string(), "ch": pa.int32(), "name": pa.string(), "rate": pa.float64(), "samples": pa.list_(pa.float64()), "error": pa.string()}
+    row = lambda *values: pa.RecordBatch.from_arrays([pa.array([v], type=k) for v, k in zip(values, kinds.values(), strict=True)], names=list(kinds))
     for batch in batches:
         for rec, header, data in zip(*(batch.column(c).to_pylist() for c in ("rec", "header", "data")), strict=True):
-            names, rate, signal, error = None, None, None, None
             try:
                 if data is None:
                     raise ValueError("data file is missing")
                 names, rate, x = decode(header.decode("utf-8", errors="replace"), data)
-                signal = x.tolist()
             except Exception as e:  # noqa: BLE001 - a broken file is a row with its error
-                error = f"{type(e).__name__}: {e}"
-            kinds = (pa.string(), pa.list_(pa.string()), pa.float64(), pa.list_(pa.list_(pa.float64())), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([v], type=k) for v, k in zip((rec, names, rate, signal, error), kinds, strict=True)], names=["rec", "names", "rate", "signal", "error"])
+                yield row(rec, None, None, None, None, f"{type(e).__name__}: {e}")
+                continue
+            for ch, name in enumerate(names):
+                yield row(rec, ch, name, rate, x[ch], None)
 
 
 def read_brainvision(spark: SparkSession, root: str, recordings: DataFrame) -> DataFrame:
-    """(rec, names, rate, signal, error) of the header files among ``recordings`` (rec, path) below ``root``; a broken one is a row with its error."""
+    """(rec, ch, name, rate, samples, error), one row per channel, of the header files among ``recordings`` (rec, path) below ``root``; a broken one is a row with its error."""
     arrow_batches(spark, rows=1)
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{vhdr,eeg,dat}").load(root)
     files = binary.select(F.regexp_replace("path", r"^file:", "").alias("path"), "content")
@@ -86,7 +87,7 @@ def read_brainvision(spark: SparkSession, root: str, recordings: DataFrame) -> D
 def unsupported(recordings: DataFrame) -> DataFrame:
     """The recordings of other formats as failed rows."""
     rest = recordings.where(~F.endswith("path", F.lit(".vhdr")))
-    empty = [F.lit(None).cast(k).alias(c) for c, k in (("names", "array<string>"), ("rate", "double"), ("signal", "array<array<double>>"))]
+    empty = [F.lit(None).cast(k).alias(c) for c, k in (("ch", "int"), ("name", "string"), ("rate", "double"), ("samples", "array<double>"))]
     return rest.select("rec", *empty, F.concat(F.lit("unsupported format: "), F.regexp_extract("path", r"\.([^./]*)$", 1)).alias("error"))
 
 
