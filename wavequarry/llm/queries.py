@@ -125,4 +125,6 @@ SELECT split_part(path, '/', 4) AS dataset, CAST(regexp_extract(path, '/sub-([0-
   r AS (SELECT split_part(path, '/', 4) AS dataset, n FROM s JOIN l USING (path)), own AS (SELECT dataset, sum(n) AS n FROM r GROUP BY dataset)
 SELECT t.dataset FROM mix_targets t LEFT JOIN own USING (dataset) WHERE t.target_share * (SELECT sum(n) FROM r) > t.max_repeats * coalesce(own.n, 0)""",
     "p8_found": truncation.TRUNCATED_SQL,
+    "p8_rates": f"""SELECT coalesce(source, '') AS source, count(*) AS texts, count(c.doc_id) AS cut, count(c.doc_id) / count(*) AS share
+FROM documents d LEFT JOIN ({truncation.TRUNCATED_SQL}) c ON d.doc_id = c.doc_id WHERE text IS NOT NULL GROUP BY 1""",
 }
