@@ -162,7 +162,8 @@ SELECT path, CAST(ch - 1 AS INTEGER) AS ch, round(CASE WHEN radius > 1e-10 THEN
 )
 def position_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of every segment, centred and scaled per group of sensors."""
-    rows = load(spark, sf_dir, "segments").where("path IS NOT NULL AND pos IS NOT NULL").select("path", "pos", "sensor_type").distinct()
+    rows = load(spark, sf_dir, "segments").where("path IS NOT NULL AND pos IS NOT NULL").select("path", "pos", "sensor_type")
+    rows = rows.repartition("path").distinct()  # one shuffle serves the distinct rows and the groups
     channels = rows.select("path", "sensor_type", F.posexplode("pos").alias("ch", "p")).select(
         "path", "ch", F.get("sensor_type", F.col("ch")).alias("sensor_type"), *(F.get("p", i).cast("double").alias(c) for i, c in enumerate("xyz"))
     )
