@@ -104,3 +104,14 @@ def test_report(tables):
     signals, splits, want = tables
     report = overlap.overlap_report(overlap.cross_split_pairs(signals, splits), splits, lambda p: p.substr(1, 1)).collect()
     assert sum(r["pairs"] for r in report) >= len(want)
+
+
+def test_a_hot_group_of_equal_and_altered_signals(spark):
+    rng = np.random.default_rng(8)
+    hot = signal(rng)
+    rows = [(f"h{k}", hot) for k in range(30)] + [(f"n{k}", hot + rng.normal(size=hot.shape) * 0.005) for k in range(10)] + [(f"o{k}", signal(rng)) for k in range(60)]
+    split = {p: "train" if k % 2 else "val" for k, (p, _) in enumerate(rows)}
+    table = spark.createDataFrame([(p, x.tolist(), "", "") for p, x in rows], SCHEMA)
+    found = {(r["train_path"], r["eval_path"]) for r in overlap.cross_split_pairs(table, spark.createDataFrame([(s, p) for p, s in split.items()], "split string, path string")).collect()}
+    group = [p for p, _ in rows[:40]]
+    assert found == {(a, b) for a in group for b in group if split[a] == "train" and split[b] == "val"}
