@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from wavequarry.functions.signals import channel_groups
 from wavequarry.session import arrow_batches, cut, small_side
 
-#: A channel's radius and peak value are an outburst beyond this multiple of its source's tail quantile.
-MARGIN = 1.7
+#: An outburst lies beyond these multiples of its source's tail quantile, by its radius and by its peak value.
+MARGINS = {"radius": 1.3, "peak": 1.67}
 TAIL = 0.99
 ROUNDS = 3
 #: A difference is "zero" below this share of the source's robust spread of differences.
@@ -161,10 +161,11 @@ def source_limits(measures: DataFrame) -> DataFrame:
     bins = cut(named.where("bin IS NOT NULL").groupBy("source", "what", "bin").count())
     tail = F.percentile("bin", F.lit(TAIL), F.col("count"))
     logs = bins.where("what <> 'run'")
+    margin = F.when(F.col("what") == "peak", MARGINS["peak"]).otherwise(MARGINS["radius"])
     limits = logs.groupBy("source", "what").agg(F.lit(float("inf")).alias("limit_bin"))
     for _ in range(ROUNDS):
         kept = logs.join(limits, ["source", "what"]).where("bin <= limit_bin")
-        limits = kept.groupBy("source", "what").agg((tail + 1 + F.log(F.lit(MARGIN)) / LOG_BIN).alias("limit_bin"))
+        limits = kept.groupBy("source", "what").agg((tail + 1 + F.log(margin) / LOG_BIN).alias("limit_bin"))
     of = lambda what: F.max(F.when(F.col("what") == what, F.exp(F.col("limit_bin") * LOG_BIN)))
     outer = limits.groupBy("source").agg(of("radius").alias("radius_limit"), of("peak").alias("peak_limit"))
     runs = bins.where("what = 'run'").groupBy("source").agg(F.greatest(tail * STILL_FACTOR, F.lit(float(STILL_LEAST))).alias("run_limit"))
