@@ -46,6 +46,8 @@ def tables(spark):
             add(text[:-1] + "…", "prose")  # a complete sentence
         if k % 10 == 4:
             add(text[: text.rindex(" the ") + 7] + "…", "prose", True)
+        if k % 50 == 6:
+            add(text[: text.rindex(" the ") + 6] + "\ufffd", "prose", True)  # half a character
         if k % 10 == 5:
             add(text + "​ ", "prose")
         add(headline(rng), "headlines")

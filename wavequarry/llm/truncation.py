@@ -9,7 +9,7 @@ Rare trigrams fall back on bigrams, single tokens and the kind of the token; hea
 whose words often end a text, set a stricter standard of their own. A last word whose
 last letters are frequent inside words but almost never end one was cut inside the
 word. Behind an ellipsis the words before it decide, by how often another closing
-mark follows them anywhere.
+mark follows them anywhere. A text that ends in half a character is cut in any case.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ LETTERS = 4
 LETTERS_SEEN = 20
 #: Weight of the shorter context when a longer one is rare.
 BACKOFF = 4.0
+#: What stands for the bytes of a character that was cut in two.
+BROKEN = "\ufffd"
 #: A mark closes texts if it ends one in at least this share of its occurrences.
 MARK_RATE = 0.05
 
@@ -72,7 +74,7 @@ def _rate(hits: str, others: str | None, seen: str | None, own: float) -> Column
 
 
 def ending_scores(documents: DataFrame) -> DataFrame:
-    """One row per text with tokens: doc_id, source, last, end_rate (texts without a closing mark),
+    """One row per text with tokens: doc_id, source, last, broken (ends in half a character), end_rate (texts without a closing mark),
     close_rate (texts with an ellipsis), letter_rate, headlines (of the source) and seen (the last trigram inside texts of the source)."""
     texts = documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text").where("text IS NOT NULL")
     texts = cut(texts.withColumn("raw", text_tokens(F.col("text"))).where("size(raw) > 0").select("doc_id", "source", "raw"))
@@ -100,7 +102,7 @@ def ending_scores(documents: DataFrame) -> DataFrame:
     dotted = F.element_at("t", -1) == "…"
     back = F.when(dotted & (n > 1), F.lit(1)).otherwise(0)
     last = shaped.select(
-        "doc_id", "source", dotted.alias("dotted"),
+        "doc_id", "source", dotted.alias("dotted"), (F.element_at("t", -1) == BROKEN).alias("broken"),
         F.get("raw", n - 1 - back).alias("last"),
         at(n - 1 - back).alias("c"), at(n - 2 - back).alias("b"), at(n - 3 - back).alias("a"),
     ).withColumn("kind", _kind(F.col("c")))
@@ -120,7 +122,7 @@ def ending_scores(documents: DataFrame) -> DataFrame:
     )
     last = last.withColumn("ending", F.when(F.col("last").rlike(r"^\p{L}") & ~F.col("last").rlike(r"^\p{IsHan}"), ending(F.lower("last"), F.length("last"))))
     return last.join(letters, "ending", "left").select(
-        "doc_id", "source", "last", "dotted",
+        "doc_id", "source", "last", "dotted", "broken",
         F.when(~F.col("dotted") & F.col("mark").isNull(), _rate("terminal1", "internal1", None, 1.0)).alias("end_rate"),
         F.when(F.col("dotted"), _rate("closed0", None, "internal0", 0.0)).alias("close_rate"),
         F.when(F.col("mark").isNull() & (F.coalesce("inside", F.lit(0)) >= LETTERS_SEEN), F.col("ends") / (F.col("inside") + F.col("ends"))).alias("letter_rate"),
@@ -138,7 +140,7 @@ def truncated(documents: DataFrame) -> DataFrame:
     """
     scores = ending_scores(documents)
     rare = F.when(F.col("headlines"), (F.col("end_rate") < HEADLINE_END_RATE) & (F.col("seen") >= HEADLINE_SEEN)).otherwise(F.col("end_rate") < END_RATE)
-    cut_off = rare | (F.col("close_rate") < CLOSE_RATE) | (F.col("letter_rate") < LETTER_RATE)
+    cut_off = F.col("broken") | rare | (F.col("close_rate") < CLOSE_RATE) | (F.col("letter_rate") < LETTER_RATE)
     return scores.where(cut_off).select("doc_id", "source")
 
 
@@ -162,7 +164,7 @@ TRUNCATED_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, r
   q AS (SELECT source, a, b, c, CASE WHEN c IN ('<n>', '<N>') THEN c WHEN regexp_matches(c, '^\p{{Han}}') THEN '<h>' WHEN regexp_matches(c, '^\p{{L}}') THEN '<w>' ELSE c END AS kind,
     count(nx) AS internal, count(*) - count(nx) AS terminal, count(m) AS closed FROM g LEFT JOIN marks ON nx = m GROUP BY ALL),
   l AS (SELECT doc_id, source, n, t, t[-1] = '…' AS dotted, n - (CASE WHEN t[-1] = '…' AND n > 1 THEN 1 ELSE 0 END) AS e, raw FROM s),
-  z AS (SELECT doc_id, source, dotted, raw[e] AS last, t[e] AS c, CASE WHEN e > 1 THEN t[e - 1] ELSE '' END AS b, CASE WHEN e > 2 THEN t[e - 2] ELSE '' END AS a,
+  z AS (SELECT doc_id, source, dotted, t[-1] = '{BROKEN}' AS broken, raw[e] AS last, t[e] AS c, CASE WHEN e > 1 THEN t[e - 1] ELSE '' END AS b, CASE WHEN e > 2 THEN t[e - 2] ELSE '' END AS a,
     CASE WHEN t[e] IN ('<n>', '<N>') THEN t[e] WHEN regexp_matches(t[e], '^\p{{Han}}') THEN '<h>' WHEN regexp_matches(t[e], '^\p{{L}}') THEN '<w>' ELSE t[e] END AS kind FROM l),
   s3 AS (SELECT source, c, b, a, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL), s2 AS (SELECT source, c, b, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL),
   s1 AS (SELECT source, c, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL), s0 AS (SELECT source, kind, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL),
@@ -183,4 +185,4 @@ TRUNCATED_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, r
   f AS (SELECT *, CASE WHEN NOT dotted AND open_ THEN (t3 + {BACKOFF} * (t2 + {BACKOFF} * (t1 + {BACKOFF} * (t0 / greatest(t0 + i0, 1))) / (t1 + i1 + {BACKOFF})) / (t2 + i2 + {BACKOFF})) / (t3 + i3 + {BACKOFF}) END AS end_rate,
     CASE WHEN dotted THEN (h3 + {BACKOFF} * (h2 + {BACKOFF} * (h1 + {BACKOFF} * (h0 / greatest(j0, 1))) / (j1 + {BACKOFF})) / (j2 + {BACKOFF})) / (j3 + {BACKOFF}) END AS close_rate,
     CASE WHEN open_ AND inside >= {LETTERS_SEEN} THEN ends / (inside + ends) END AS letter_rate FROM r)
-SELECT doc_id FROM f WHERE CASE WHEN headlines THEN end_rate < {HEADLINE_END_RATE} AND seen >= {HEADLINE_SEEN} ELSE end_rate < {END_RATE} END OR close_rate < {CLOSE_RATE} OR letter_rate < {LETTER_RATE}"""
+SELECT doc_id FROM f WHERE broken OR CASE WHEN headlines THEN end_rate < {HEADLINE_END_RATE} AND seen >= {HEADLINE_SEEN} ELSE end_rate < {END_RATE} END OR close_rate < {CLOSE_RATE} OR letter_rate < {LETTER_RATE}"""
