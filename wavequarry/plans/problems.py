@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wavequarry.operators.compaction import compact
 from wavequarry.operators.records import RECORD_PATH_SQL, listed_paths, stored_rows
