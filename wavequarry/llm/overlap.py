@@ -81,7 +81,7 @@ def listed_signals(signals: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def _vectors(classes: DataFrame, n: int) -> DataFrame:
-    """fp, in_train, in_eval, terms (term, w, top) that both sides share; w is the weight over the vector's norm."""
+    """fp, in_train, in_eval and the terms (term, w) that both sides share; w is the weight over the norm of the whole vector."""
     postings = classes.select("fp", "in_train", "in_eval", F.explode(F.array_distinct("terms")).alias("term"))
     seen = postings.groupBy("term").agg(F.count("*").alias("df"), F.max("in_train").alias("t"), F.max("in_eval").alias("e"))
     common = seen.where("df > 1").withColumn("idf", F.log1p(F.lit(float(n)) / F.col("df")))

@@ -39,7 +39,7 @@ MARK_RATE = 0.05
 
 _INVISIBLE = r"[\p{Cf}\x{FE00}-\x{FE0F}]"
 _TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|(?:(?![\p{IsHan}\p{IsHiragana}\p{IsKatakana}])[\p{L}\p{N}][\p{M}]*)+|[^\s\p{Z}\p{C}\p{L}\p{N}\p{M}]"
-#: Tokens that count as one class: numbers, words with a capital and everything else by itself.
+#: The contexts of a position from the longest to the shortest: its last three, two and one tokens, and its kind.
 _LEVELS = (("c", "b", "a"), ("c", "b"), ("c",), ("kind",))
 
 
@@ -50,6 +50,7 @@ def text_tokens(text: Column) -> Column:
 
 
 def _shape(token: Column) -> Column:
+    """Numbers are one class of tokens, words with a capital another; every other token is its own, in lower case."""
     return F.when(token.rlike(r"^\p{N}+$"), F.lit("<n>")).when(token.rlike(r"^\p{Lu}"), F.lit("<N>")).otherwise(F.lower(token))
 
 
