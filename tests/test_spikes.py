@@ -61,3 +61,19 @@ def test_ties_and_constant_source(spark):
     rows = [(f"c/{k}", "c", [[1.0] * 64], "", "") for k in range(5)]
     assert implausible_channels(spark.createDataFrame(rows, SCHEMA)).count() in (0, 5)  # no spread, no limit: nothing to compare with
     assert implausible_channels(spark.createDataFrame(rows, SCHEMA)).where(F.array_contains("reasons", "spike")).count() == 0
+
+
+def test_many_faults_do_not_hide_each_other(spark):
+    rng = np.random.default_rng(2)
+    rows, want = [], {"spike": set(), "stuck": set()}
+    for k in range(200):
+        x = np.array([smooth(rng) for _ in range(8)])
+        if k % 4 == 0:  # three channels of a hundred each
+            x[1, 30] = rng.uniform(10, 25)
+            want["spike"].add((f"m/{k}", 1))
+            x[2, 10 : 10 + rng.integers(20, 50)] = x[2, 10]
+            want["stuck"].add((f"m/{k}", 2))
+        rows.append((f"m/{k}", "m", x.tolist(), "", ""))
+    found = implausible_channels(spark.createDataFrame(rows, SCHEMA)).collect()
+    for reason, channels in want.items():
+        assert {(r["path"], r["ch"]) for r in found if reason in r["reasons"]} == channels

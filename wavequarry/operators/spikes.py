@@ -4,9 +4,9 @@ Phase-space thresholding: every sample is a point (value, first difference,
 second difference); the second difference is rotated onto the value axis, each
 axis is scaled by the source's robust spread, and a channel's radius is its
 farthest point from the centre. The ellipsoid's size and its extent along the value
-axis are fitted to the source's own tail, iteratively: the limit is a margin over a
-high quantile of what the last limit kept; an outburst lies beyond both. Runs of differences close to zero find values that stand
-still, and bounds find readings that cannot occur at all.
+axis are fitted to the source's own tail, iteratively: from a limit on the median and the
+upper quartile on, the limit is a margin over a high quantile of what the last limit
+kept; an outburst lies beyond both. Runs of differences close to zero find values that stand still, and bounds find readings that cannot occur at all.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from wavequarry.session import arrow_batches, cut, small_side
 #: An outburst lies beyond these multiples of its source's tail quantile, by its radius and by its peak value.
 MARGINS = {"radius": 1.3, "peak": 1.67}
 TAIL = 0.99
-ROUNDS = 3
+#: The rounds start so many times the distance from median to upper quartile above the median, so faults are not in the first tail.
+START = 4.0
 #: A difference is "zero" below this share of the source's robust spread of differences.
 STILL_SHARE = 0.1
 #: A zero-difference run is a stuck value beyond this multiple of the source's tail run ...
@@ -142,11 +143,45 @@ def channel_measures(signals: DataFrame) -> DataFrame:
     return joined.mapInArrow(_measure, f"path string, source string, channels {CHANNELS}")
 
 
+def _quantile(bins: np.ndarray, counts: np.ndarray, q: float) -> float:
+    """Interpolated quantile of ascending ``bins`` that hold ``counts``."""
+    place, upto = (counts.sum() - 1) * q, np.cumsum(counts)
+    low, high = (bins[np.searchsorted(upto, i, side="right")] for i in (np.floor(place), np.ceil(place)))
+    return float(low + (high - low) * (place - np.floor(place)))
+
+
+def tail_limit(bins: np.ndarray, counts: np.ndarray, what: str) -> float:
+    """The limit of one source's histogram: a margin over the tail of what lies below the limit, from a robust start until it settles."""
+    if what == "run":
+        beyond = lambda v: max(v * STILL_FACTOR, float(STILL_LEAST))
+    else:
+        beyond = lambda v: v + 1 + np.log(MARGINS[what]) / LOG_BIN
+    middle, upper = (_quantile(bins, counts, q) for q in (0.5, 0.75))
+    limit = max(middle + START * (upper - middle), beyond(middle))
+    last = None
+    while limit != last:  # the bins kept only grow or only shrink
+        kept = bins < limit if what == "run" else bins <= limit
+        last, limit = limit, beyond(_quantile(bins[kept], counts[kept], TAIL))
+    return limit
+
+
+def _limits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One histogram a row to its limit."""
+    for batch in batches:
+        found = []
+        for what, bars in zip(batch.column("what").to_pylist(), batch.column("bars").to_pylist(), strict=True):
+            bins, counts = np.array(sorted((b["bin"], b["count"]) for b in bars)).T
+            found.append(tail_limit(bins, counts, what))
+        yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("what"), pa.array(found, type=pa.float64())], names=["source", "what", "limit_bin"])
+
+
 def source_limits(measures: DataFrame) -> DataFrame:
     """Per source the largest radius and peak and the longest still run that count as normal.
 
     Measures are counted into histograms first, so the iteration only ever sees a
-    bounded number of bins per source, whatever the number of channels.
+    bounded number of bins per source, whatever the number of channels. It starts
+    from the median and the upper quartile, so up to a quarter of a source's channels may be
+    faulty.
     """
     flat = measures.select("source", F.explode("channels").alias("c")).select("source", "c.*")
     log_bin = lambda c: F.when(F.col(c) > 0, F.floor(F.log(c) / LOG_BIN))
@@ -158,18 +193,12 @@ def source_limits(measures: DataFrame) -> DataFrame:
             )
         ).alias("what", "bin"),
     )
-    bins = cut(named.where("bin IS NOT NULL").groupBy("source", "what", "bin").count())
-    tail = F.percentile("bin", F.lit(TAIL), F.col("count"))
-    logs = bins.where("what <> 'run'")
-    margin = F.when(F.col("what") == "peak", MARGINS["peak"]).otherwise(MARGINS["radius"])
-    limits = logs.groupBy("source", "what").agg(F.lit(float("inf")).alias("limit_bin"))
-    for _ in range(ROUNDS):
-        kept = logs.join(limits, ["source", "what"]).where("bin <= limit_bin")
-        limits = kept.groupBy("source", "what").agg((tail + 1 + F.log(margin) / LOG_BIN).alias("limit_bin"))
-    of = lambda what: F.max(F.when(F.col("what") == what, F.exp(F.col("limit_bin") * LOG_BIN)))
-    outer = limits.groupBy("source").agg(of("radius").alias("radius_limit"), of("peak").alias("peak_limit"))
-    runs = bins.where("what = 'run'").groupBy("source").agg(F.greatest(tail * STILL_FACTOR, F.lit(float(STILL_LEAST))).alias("run_limit"))
-    return runs.join(outer, "source", "left")
+    bins = named.where("bin IS NOT NULL").groupBy("source", "what", "bin").count()
+    bars = bins.groupBy("source", "what").agg(F.collect_list(F.struct("bin", "count")).alias("bars"))
+    limits = bars.mapInArrow(_limits, "source string, what string, limit_bin double")
+    of = lambda what, value: F.max(F.when(F.col("what") == what, value)).alias(f"{what}_limit")
+    size = F.exp(F.col("limit_bin") * LOG_BIN)
+    return limits.groupBy("source").agg(of("radius", size), of("peak", size), of("run", F.col("limit_bin")))
 
 
 def _reasons(ch: Column) -> Column:
