@@ -77,3 +77,25 @@ def test_many_faults_do_not_hide_each_other(spark):
     found = implausible_channels(spark.createDataFrame(rows, SCHEMA)).collect()
     for reason, channels in want.items():
         assert {(r["path"], r["ch"]) for r in found if reason in r["reasons"]} == channels
+
+
+def test_sources_without_a_median_spread_are_checked(spark):
+    rng = np.random.default_rng(3)
+    rows, want = [], set()
+    for k in range(120):
+        coarse = np.array([np.where(rng.random(64) < 0.15, rng.choice([-1.0, 1.0, 2.0]), 0.0) for _ in range(4)])
+        standing = np.array([np.full(64, 0.5) if c < 3 else smooth(rng) for c in range(4)])
+        if k in (3, 70):
+            coarse[1, 30] = standing[3, 30] = 40.0
+            want |= {(f"coarse/{k}", 1), (f"standing/{k}", 3)}
+        rows += [(f"coarse/{k}", "coarse", coarse.tolist(), "", ""), (f"standing/{k}", "standing", standing.tolist(), "", "")]
+    # values in eighths that seldom keep still for long, and one that does
+    for k in range(120):
+        x = np.array([np.cumsum(np.arange(64) % 3 == 0) % 5 / 8 for _ in range(4)])
+        if k == 9:
+            x[2, 5:60] = x[2, 5]
+            want.add((f"steps/{k}", 2))
+        rows.append((f"steps/{k}", "steps", x.tolist(), "", ""))
+    rows += [(f"still/{k}", "still", [[1.0] * 64], "", "") for k in range(5)]
+    found = implausible_channels(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r["path"], r["ch"]) for r in found} == want

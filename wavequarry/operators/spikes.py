@@ -36,6 +36,8 @@ STILL_LEAST = 10
 HARD_LIMIT = 1.0e3
 #: The measures of one channel of a record.
 CHANNELS = "array<struct<ch:int,radius:double,peak:double,run:int,wild:boolean>>"
+#: Mean absolute deviation of a normal distribution, in standard deviations.
+MEAN_SHARE = 0.7979
 #: Width of a bin of the radius and peak histogram, in natural-log units.
 LOG_BIN = 0.01
 
@@ -54,6 +56,13 @@ def _median(a: np.ndarray) -> np.ndarray:
     return np.where(n > 0, a[np.arange(len(a)), at // 2], np.nan)
 
 
+def _mean(a: np.ndarray) -> np.ndarray:
+    """Mean by row without NaN; NaN for rows that have no value."""
+    known = ~np.isnan(a)
+    with np.errstate(invalid="ignore"):
+        return np.where(known, a, 0.0).sum(axis=1) / known.sum(axis=1)
+
+
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         source, parts = batch.column("source"), []
@@ -69,12 +78,15 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 both = np.where(np.isnan(d2), np.nan, mid)
                 slope = np.nansum(both * d2, axis=1) / np.nansum(both * both, axis=1)
                 turned = d2 - slope[:, None] * mid
-            parts.append((row, _median(np.abs(v)), _median(np.abs(d1)), slope, _median(np.abs(turned))))
+            sizes = [np.abs(a) for a in (v, d1, turned)]
+            m0, m1, m2 = (_median(a) for a in sizes)
+            e0, e1, e2 = (_mean(a) for a in sizes)
+            parts.append((row, m0, m1, slope, m2, e0, e1, e2))
         if parts:
             row, *cols = (np.concatenate(c) for c in zip(*parts, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [source.take(pa.array(row)), *(pa.array(c.astype(np.float64), from_pandas=True) for c in cols)],
-                names=["source", "m0", "m1", "slope", "m2"],
+                names=["source", "m0", "m1", "slope", "m2", "e0", "e1", "e2"],
             )
 
 
@@ -102,7 +114,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     square[np.isnan(square)] = -1.0
                     radius = np.sqrt(square.max(axis=1).clip(0))
                     peak = np.nan_to_num(np.abs(v), nan=-1.0).max(axis=1).clip(0)
-                    still = np.abs(np.diff(raw, axis=1)) <= STILL_SHARE * a1
+                    still = np.abs(np.diff(raw, axis=1)) <= STILL_SHARE * np.nan_to_num(a1)
                 current = np.zeros(len(row), dtype=np.int32)
                 for t in range(still.shape[1]):
                     current = (current + 1) * still[:, t]
@@ -124,15 +136,18 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def source_spreads(signals: DataFrame) -> DataFrame:
     """Robust spread of value, first and rotated second difference per source.
 
-    The median over channels of each channel's median deviation; a source whose
-    spread is zero or unknown gets no row.
+    The median over channels of each channel's median deviation. Where that is zero
+    (coarse steps, many standing channels) the median, over the channels that move, of
+    the mean deviation; null only if no channel of the source moves.
     """
     mid = lambda c: F.percentile_approx(c, 0.5, 1000)
-    per_channel = signals.select("source", "x").mapInArrow(_spread, "source string, m0 double, m1 double, slope double, m2 double")
-    scaled = per_channel.groupBy("source").agg(
-        *((mid(c) / F.lit(0.6745)).alias(a) for c, a in (("m0", "a0"), ("m1", "a1"), ("m2", "a2"))), mid("slope").alias("slope")
-    )
-    return scaled.where("a0 > 0 AND a1 > 0 AND a2 > 0").select("source", "a0", "a1", "slope", "a2")
+    columns = "source string, m0 double, m1 double, slope double, m2 double, e0 double, e1 double, e2 double"
+    per_channel = signals.select("source", "x").mapInArrow(_spread, columns)
+    positive = lambda c: F.when(c > 0, c)
+    spread = lambda k: F.coalesce(positive(mid(f"m{k}")) / F.lit(0.6745), mid(positive(F.col(f"e{k}"))) / F.lit(MEAN_SHARE))
+    return per_channel.groupBy("source").agg(
+        *(spread(k).alias(f"a{k}") for k in (0, 1, 2)), F.coalesce(mid("slope"), F.lit(0.0)).alias("slope")
+    ).select("source", "a0", "a1", "slope", "a2")
 
 
 def channel_measures(signals: DataFrame) -> DataFrame:
@@ -218,7 +233,8 @@ def implausible_channels(signals: DataFrame) -> DataFrame:
     ignored. Rows with null ``x`` or ``path`` give nothing; a null source is a
     source of its own. Null readings count as missing (they end a still run),
     NaN, infinite and out-of-bounds readings are faults. Channels of fewer than
-    three samples have no radius and no run. Repeated rows of a path give each
+    three samples have no radius and no run. Where no channel of a source moves, nothing is
+    an outburst and standing still is usual. Repeated rows of a path give each
     channel once, with its largest measures.
     """
     signals = signals.where("path IS NOT NULL AND x IS NOT NULL").select("path", F.coalesce("source", F.lit("")).alias("source"), "x")
