@@ -86,3 +86,14 @@ def test_empty(tables):
 def test_one_text(spark):
     one = spark.createDataFrame([(1, "A single complete text.", None), (1, "A single complete text.", None)], "doc_id bigint, text string, source string")
     assert truncation.truncated(one).count() == 0
+
+
+def test_copies_do_not_vouch_for_each_other(spark):
+    rng = random.Random(8)
+    texts = [" ".join(sentence(rng) for _ in range(3)).replace(" of ", ", of ", 1) for _ in range(200)]
+    cut = texts[0][: texts[0].rindex(" of ") + 3]
+    comma = f"{texts[1][: texts[1].rindex(' of ')]},"
+    rows = [(k, t, "prose") for k, t in enumerate(texts + 100 * [cut] + 100 * [comma])]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = [r["doc_id"] for r in truncation.truncated(documents).collect()]
+    assert sorted(found) == list(range(200, 400))

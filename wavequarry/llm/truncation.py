@@ -2,7 +2,7 @@
 
 Only SQL expressions: every text becomes a list of tokens (words, single ideographs,
 marks), and each position is counted with its word trigram, as internal or as the end
-of the text, per source. A text that does not end with a closing mark (one that often
+of the text, per source; texts with the same tokens count once. A text that does not end with a closing mark (one that often
 ends texts) joins its last trigram with these counts: where a trigram is frequent
 inside the texts of its source but almost never ends one, the text was cut there.
 Rare trigrams fall back on bigrams, single tokens and the kind of the token; headlines,
@@ -78,7 +78,9 @@ def ending_scores(documents: DataFrame) -> DataFrame:
     """One row per text with tokens: doc_id, source, last, broken (ends in half a character), end_rate (texts without a closing mark),
     close_rate (texts with an ellipsis), letter_rate, headlines (of the source) and seen (the last trigram inside texts of the source)."""
     texts = documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text").where("text IS NOT NULL")
-    texts = cut(texts.withColumn("raw", text_tokens(F.col("text"))).where("size(raw) > 0").select("doc_id", "source", "raw"))
+    texts = texts.withColumn("raw", text_tokens(F.col("text"))).where("size(raw) > 0")
+    copies = cut(texts.select("doc_id", "source", F.md5(F.array_join("raw", " ")).alias("key"), "raw"))  # no token holds a space
+    texts = cut(copies.groupBy("source", "key").agg(F.first("raw").alias("raw")))
     shaped = texts.withColumn("t", F.transform("raw", _shape))
     at = lambda i: F.coalesce(F.get("t", i), F.lit(""))
     gram = lambda i: F.struct(at(i - 2).alias("a"), at(i - 1).alias("b"), at(i).alias("c"), F.get("t", i + 1).alias("next"))
@@ -103,7 +105,7 @@ def ending_scores(documents: DataFrame) -> DataFrame:
     dotted = F.element_at("t", -1) == "…"
     back = F.when(dotted & (n > 1), F.lit(1)).otherwise(0)
     last = shaped.select(
-        "doc_id", "source", dotted.alias("dotted"), (F.element_at("t", -1) == BROKEN).alias("broken"),
+        "key", "source", dotted.alias("dotted"), (F.element_at("t", -1) == BROKEN).alias("broken"),
         F.get("raw", n - 1 - back).alias("last"),
         at(n - 1 - back).alias("c"), at(n - 2 - back).alias("b"), at(n - 3 - back).alias("a"),
     ).withColumn("kind", _kind(F.col("c")))
@@ -122,22 +124,24 @@ def ending_scores(documents: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("p.i") == F.col("n"), F.col("count")).otherwise(0)).alias("ends"),
     )
     last = last.withColumn("ending", F.when(F.col("last").rlike(r"^\p{L}") & ~F.col("last").rlike(r"^\p{IsHan}"), ending(F.lower("last"), F.length("last"))))
-    return last.join(letters, "ending", "left").select(
-        "doc_id", "source", "last", "dotted", "broken",
+    scores = last.join(letters, "ending", "left").select(
+        "key", "source", "last", "dotted", "broken",
         F.when(~F.col("dotted") & F.col("mark").isNull(), _rate("terminal1", "internal1", None, 1.0)).alias("end_rate"),
         F.when(F.col("dotted"), _rate("closed0", None, "internal0", 0.0)).alias("close_rate"),
         F.when(F.col("mark").isNull() & (F.coalesce("inside", F.lit(0)) >= LETTERS_SEEN), F.col("ends") / (F.col("inside") + F.col("ends"))).alias("letter_rate"),
         (F.coalesce("open_rate", F.lit(0.0)) > HEADLINE_RATE).alias("headlines"),
         F.coalesce("internal1_cba", F.lit(0)).alias("seen"),
     )
+    return copies.select("doc_id", "source", "key").join(scores, ["source", "key"]).select("doc_id", *(c for c in scores.columns if c != "key"))
 
 
 def truncated(documents: DataFrame) -> DataFrame:
     """(doc_id, source) of the texts that were cut, by :func:`ending_scores`.
 
     ``documents`` has doc_id, text and source; other columns are ignored. Null, empty
-    and blank texts are not cut; a null source is a source of its own; repeated rows
-    count as often as they come.
+    and blank texts are not cut; a null source is a source of its own. Texts of a source
+    with the same tokens are counted and judged once, so copies do not vouch for each
+    other; each of their rows is returned.
     """
     scores = ending_scores(documents)
     rare = F.when(F.col("headlines"), (F.col("end_rate") < HEADLINE_END_RATE) & (F.col("seen") >= HEADLINE_SEEN)).otherwise(F.col("end_rate") < END_RATE)
@@ -153,7 +157,7 @@ def truncation_rates(documents: DataFrame) -> DataFrame:
     return texts.join(found, "source", "left").select("source", "texts", F.coalesce("cut", F.lit(0)).alias("cut"), F.coalesce(share, F.lit(0.0)).alias("share"))
 
 
-#: The same result in DuckDB's SQL, for tests.
+#: The same result in DuckDB's SQL, for tests; it counts every copy of a text, so it can miss repeated cut texts.
 TRUNCATED_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(text,
     '[\p{{Cf}}\x{{FE00}}-\x{{FE0F}}]', '', 'g'), '\.{{3,}}', '…', 'g'), '([\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])', ' \1 ', 'g'),
     '(?:[\p{{L}}\p{{N}}]\p{{M}}*)+|[^\s\p{{Z}}\p{{C}}\p{{L}}\p{{N}}\p{{M}}]') AS raw FROM documents WHERE text IS NOT NULL),
