@@ -106,3 +106,25 @@ def test_very_long_texts():
     item = " ".join(sentence(rng) for _ in range(200))
     document = " ".join(sentence(rng) for _ in range(3000)) + item
     assert leakage.held_share(document, item, names) > 0.99
+
+
+def test_items_without_slots(spark):
+    rng = random.Random(9)
+    words = [a + b for a in "bra cle dro fli gru".split() for b in "ner sto lim pax tid vo".split()]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n)) + "."
+    han = lambda n: "".join(rng.choice("山水火木金土日月星雨风雪花草鸟鱼") for _ in range(n))
+    phrase = "it is widely known in the town and all around that"
+    items = [(0, prose(40)), (1, han(60)), (2, phrase + " " + sentence(rng)), (3, prose(30))]
+    docs = [f"{phrase} {prose(30)}" for _ in range(30)] + [han(80) for _ in range(30)]
+    want = set()
+    for item, text in items[:2]:
+        half = text[: int(len(text) * 0.7)]
+        for held in (text, half):
+            want.add((len(docs), item))
+            docs.append(f"{prose(20)} {held} {prose(20)}")
+    for _ in range(40):  # one that many documents hold
+        want.add((len(docs), 3))
+        docs.append(f"{prose(20)} {items[3][1]}")
+    documents = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    found = leakage.leaked_items(documents, spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want

@@ -3,7 +3,9 @@
 Texts are brought to templates: numbers, names and units become typed placeholders,
 invisible characters and case go. Windows of template tokens of the corpus are
 hash-joined with those of the evaluation items; a window counts if the values in its
-slots all agree as well, so a common pattern with other names in it says nothing.
+slots all agree as well, so a common pattern with other names in it says nothing. A
+window without a slot counts unless it is a stock phrase: one that most documents have
+without much else of the item.
 Documents whose consistent windows cover enough of an item are candidates; a local
 alignment of the whole document with the item, in the item's order and in one passage
 or few, then measures the share of the item's letters and digits that it holds.
@@ -12,7 +14,7 @@ or few, then measures the share of the item's letters and digits that it holds.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ PASSAGES = 4
 PIECE, CELLS = 1000, 4_000_000
 #: Windows that stand in so many items are stock phrases (an instruction) and find no candidates.
 STOCK_ITEMS = 3
+#: A window without a slot is a stock phrase of the corpus unless at least half of the documents that have it cover this share of the item.
+OWN_SHARE = 0.25
 #: A capitalised word that stands in more than this share of the items is no name.
 COMMON_SHARE = 0.02
 #: Unit words that become one placeholder.
@@ -89,7 +93,7 @@ def template(words: list[str], names: Names) -> tuple[list[str], list[str]]:
 
 
 def _windows(names: Names):
-    """(id, text) batches to (id, key, at, total, slots) rows, one for each window of a text that has a slot."""
+    """(id, text) batches to (id, key, at, total, slots) rows, one for each window of a text; slots is empty where it has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -106,13 +110,12 @@ def _windows(names: Names):
                 if not text:
                     continue
                 kinds, values = template(tokens(text), names)
-                for at in range(max(1, len(kinds) - WINDOW + 1)):
+                for at in range(max(1, len(kinds) - WINDOW + 1) if kinds else 0):
                     slots = [v for v in values[at : at + WINDOW] if v]
-                    if slots:
-                        code = xxhash.xxh64_intdigest(" ".join(kinds[at : at + WINDOW])) - (1 << 63)
-                        rows.append((key, code, at, len(kinds), slots))
-                        if len(rows) >= BATCH_ROWS:
-                            yield handed()
+                    code = xxhash.xxh64_intdigest(" ".join(kinds[at : at + WINDOW])) - (1 << 63)
+                    rows.append((key, code, at, len(kinds), slots))
+                    if len(rows) >= BATCH_ROWS:
+                        yield handed()
         if rows:
             yield handed()
 
@@ -156,10 +159,17 @@ def _align(item: np.ndarray, doc: np.ndarray, weight: np.ndarray, gap: float) ->
     return best[1:]
 
 
-def held_share(document: str, item: str, names: Names) -> float:
+def _holds_window(matched: list[int], own: Sequence[int], total: int) -> bool:
+    """Whether the matched item positions hold all tokens of a window that starts at one of ``own``."""
+    places = set(matched)
+    return any(places.issuperset(range(at, min(at + WINDOW, total))) for at in own)
+
+
+def held_share(document: str, item: str, names: Names, own: Sequence[int] = ()) -> float:
     """The share of the item's letters and digits that the document holds in the item's order, in at most ``PASSAGES`` passages.
 
-    Each passage must hold ``PASSAGE_LETTERS`` of them and a slot's value. An item longer
+    Each passage must hold ``PASSAGE_LETTERS`` of them and a slot's value or a whole window
+    that starts at one of the item's tokens ``own``. An item longer
     than ``PIECE`` tokens is held piece by piece, each in as many passages.
     """
     words = tokens(item)
@@ -186,7 +196,7 @@ def held_share(document: str, item: str, names: Names) -> float:
             found, i, end_i, j, end_j = _align(target[a:b], whole[c:d], weight[a:b], gap)
             matched = [a + k for k in found]
             letters = float(weight[matched].sum()) if matched else 0.0
-            if letters < PASSAGE_LETTERS or not slot[matched].any():
+            if letters < PASSAGE_LETTERS or not (slot[matched].any() or _holds_window(matched, own, len(target))):
                 continue
             held += letters
             passages += 1
@@ -198,7 +208,8 @@ def held_share(document: str, item: str, names: Names) -> float:
 def _measure(names: Names):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shares = [held_share(d, i, names) for d, i in zip(batch.column("text").to_pylist(), batch.column("item").to_pylist(), strict=True)]
+            columns = (batch.column(c).to_pylist() for c in ("text", "item", "own"))
+            shares = [held_share(d, i, names, o or ()) for d, i, o in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("item_id"), pa.array(shares, type=pa.float64())], names=["id", "item_id", "share"])
 
     return run
@@ -229,15 +240,21 @@ def leaked_items(documents: DataFrame, items: DataFrame, max_items: int = 100_00
     docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("id"), "text")
     ours = docs.mapInArrow(_windows(names), schema).select("id", "key", "slots")
     agree = F.col("slots") == F.col("item_slots")
-    covered = F.size(F.array_distinct(F.flatten(F.transform(F.collect_set("at"), lambda a: F.sequence(a, a + WINDOW - 1)))))
-    candidates = (
+    covered = F.size(F.array_distinct(F.flatten(F.transform(F.col("all_at"), lambda a: F.sequence(a, a + WINDOW - 1)))))
+    slotted = F.size("item_slots") > 0
+    held = cut(
         ours.join(small_side(theirs), "key")
         .where(agree)
         .groupBy("id", "item_id")
-        .agg((covered / F.max("total")).alias("covered"))  # an item's windows are bounded by its length
-        .where(F.col("covered") >= CANDIDATE_SHARE)
-        .select("id", "item_id")
+        .agg(F.collect_set("at").alias("all_at"), F.collect_set(F.when(~slotted, F.col("at"))).alias("plain_at"), F.max("total").alias("total"))
+        .withColumn("covered", covered / F.col("total"))  # an item's windows are bounded by its length
     )
+    plain = held.select("item_id", "covered", F.explode("plain_at").alias("at")).groupBy("item_id", "at")
+    own = plain.agg(F.avg((F.col("covered") >= OWN_SHARE).cast("double")).alias("with_more")).where(F.col("with_more") >= 0.5)
+    own = cut(own.groupBy("item_id").agg(F.collect_list("at").alias("own")))
+    held = held.join(small_side(own), "item_id", "left").withColumn("own", F.coalesce("own", F.array().cast("array<int>")))
+    telling = held.withColumn("all_at", F.array_except("all_at", F.array_except("plain_at", "own")))
+    candidates = telling.where(covered / F.col("total") >= CANDIDATE_SHARE).select("id", "item_id", "own")
     pairs = cut(candidates).join(docs.dropDuplicates(["id"]), "id").join(small_side(items.select(F.col("id").alias("item_id"), F.col("text").alias("item"))), "item_id")
     measured = pairs.repartition("id", "item_id").mapInArrow(_measure(names), "id bigint, item_id bigint, share double")
     return measured.where(F.col("share") >= LEAST_SHARE).select(F.col("id").alias("doc_id"), "item_id", "share")
