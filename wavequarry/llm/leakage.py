@@ -166,7 +166,7 @@ def _holds_window(matched: list[int], own: Sequence[int], total: int) -> bool:
 
 
 def held_share(document: str, item: str, names: Names, own: Sequence[int] = ()) -> float:
-    """The share of the item's letters and digits that the document holds in the item's order, in at most ``PASSAGES`` passages.
+    """The share of the item's letters and digits that the document holds in the item's order, in at most ``PASSAGES`` passages with a slot.
 
     Each passage must hold ``PASSAGE_LETTERS`` of them and a slot's value or a whole window
     that starts at one of the item's tokens ``own``. An item longer
@@ -199,7 +199,7 @@ def held_share(document: str, item: str, names: Names, own: Sequence[int] = ())
             if letters < PASSAGE_LETTERS or not (slot[matched].any() or _holds_window(matched, own, len(target))):
                 continue
             held += letters
-            passages += 1
+            passages += int(slot[matched].any())  # one without a slot takes no other's place
             reached = max(reached, c + end_j)
             open_parts += [(a, a + i, c, c + j), (a + end_i, b, c + end_j, d)]
     return held / float(weight.sum())
