@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wavequarry.operators.spikes import implausible_channels
+from wavequarry.operators.spikes import fit_ellipsoids, implausible_channels, shape_counts, source_spreads
+from wavequarry.session import arrow_batches
 
 SCHEMA = "path string, source string, x array<array<float>>, ch string, radius string"
 
@@ -99,3 +100,33 @@ def test_sources_without_a_median_spread_are_checked(spark):
     rows += [(f"still/{k}", "still", [[1.0] * 64], "", "") for k in range(5)]
     found = implausible_channels(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {(r["path"], r["ch"]) for r in found} == want
+
+
+def test_the_ellipsoid_decides_not_the_value(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(150):
+        x = np.array([smooth(rng) for _ in range(4)])
+        if k == 11:  # within the values of its source, but no signal of it turns like this
+            x[1, 20:28] = 1.9 * (-1.0) ** np.arange(8)
+        rows.append((f"z/{k}", "z", x.tolist(), "", ""))
+    found = implausible_channels(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r["path"], r["ch"], list(r["reasons"])) for r in found] == [("z/11", 1, ["spike"])]
+    assert max(abs(np.array(r[2])).max() for r in rows if r[0] != "z/11") > 1.9
+
+
+def test_spreads_are_fitted_again_without_the_samples_outside(spark):
+    rng = np.random.default_rng(5)
+    clean, dirty = [], []
+    for k in range(120):
+        x = np.array([smooth(rng) for _ in range(4)])
+        clean.append((f"r/{k}", "r", x.tolist(), "", ""))
+        y = x.copy()
+        y[0, 8:32] = rng.choice([-1.0, 1.0], 24) * rng.uniform(20, 30, 24)  # a quarter of the channels, not quite
+        dirty.append((f"r/{k}", "r", (y if k % 20 else x).tolist(), "", ""))
+    arrow_batches(spark)
+    spread = lambda df: source_spreads(df).first()["a1"]
+    true, first = (spread(shape_counts(spark.createDataFrame(r, SCHEMA))) for r in (clean, dirty))
+    last = fit_ellipsoids(spark.createDataFrame(dirty, SCHEMA))[1].first()["a1"]
+    assert first > 1.02 * true
+    assert abs(last / true - 1) < abs(first / true - 1) / 2

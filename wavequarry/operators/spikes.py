@@ -1,12 +1,15 @@
 """Implausible readings in multichannel signals, relative to their source.
 
-Phase-space thresholding: every sample is a point (value, first difference,
-second difference); the second difference is rotated onto the value axis, each
-axis is scaled by the source's robust spread, and a channel's radius is its
-farthest point from the centre. The ellipsoid's size and its extent along the value
-axis are fitted to the source's own tail, iteratively: from a limit on the median and the
-upper quartile on, the limit is a margin over a high quantile of what the last limit
-kept; an outburst lies beyond both. Runs of differences close to zero find values that stand still, and bounds find readings that cannot occur at all.
+Phase-space thresholding: every sample is a point (value, first difference, second
+difference); the second difference is rotated onto the value axis and each axis is scaled
+by the source's robust spread, so that a sample's radius says how many times it lies
+outside the unit ellipsoid. A source's ellipsoid has the radius that its own tail allows:
+a limit starts at the median and the upper quartile of the channels' radii and is set
+again from the tail of what it keeps until it settles. Samples outside are flagged, the
+spreads are fitted again without them, and all of it is repeated until the spreads stay
+the same. A spike is a channel with a sample outside the last ellipsoid. Runs of
+differences close to zero find values that stand still, and bounds find readings that
+cannot occur at all.
 """
 
 from __future__ import annotations
@@ -21,9 +24,10 @@ from pyspark.sql import functions as F
 from wavequarry.functions.signals import channel_groups
 from wavequarry.session import arrow_batches, cut, small_side
 
-#: An outburst lies beyond these multiples of its source's tail quantile, by its radius and by its peak value.
-MARGINS = {"radius": 1.3, "peak": 1.67}
-TAIL = 0.99
+#: The ellipsoid's radius is so many times the tail quantile of its source's radii ...
+MARGIN, TAIL = 1.18, 0.99
+#: ... and wider where the source's tail is heavy: by this power of the tail quantile over the median.
+HEAVINESS = 0.75
 #: The rounds start so many times the distance from median to upper quartile above the median, so faults are not in the first tail.
 START = 4.0
 #: A difference is "zero" below this share of the source's robust spread of differences.
@@ -35,11 +39,13 @@ STILL_LEAST = 10
 #: No normalised signal reaches this absolute value.
 HARD_LIMIT = 1.0e3
 #: The measures of one channel of a record.
-CHANNELS = "array<struct<ch:int,radius:double,peak:double,run:int,wild:boolean>>"
+CHANNELS = "array<struct<ch:int,radius:double,run:int,wild:boolean>>"
 #: Mean absolute deviation of a normal distribution, in standard deviations.
 MEAN_SHARE = 0.7979
-#: Width of a bin of the radius and peak histogram, in natural-log units.
-LOG_BIN = 0.01
+#: Width of a bin of the radii and spreads, in natural-log units, and of the slopes; and the bin of a spread that is zero.
+LOG_BIN, SLOPE_BIN, ZERO_BIN = 0.01, 0.01, -1_000_000
+#: The measures of a channel that make up the spreads of its source: medians and means of the three axes and of its steps, and the slope of the rotation.
+SHAPES = ("m0", "m1", "m2", "m3", "slope", "e0", "e1", "e2", "e3")
 
 
 def _finite(v: np.ndarray) -> np.ndarray:
@@ -63,63 +69,85 @@ def _mean(a: np.ndarray) -> np.ndarray:
         return np.where(known, a, 0.0).sum(axis=1) / known.sum(axis=1)
 
 
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _phases(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centred values with their central first and their second differences; the ends are continued by themselves."""
+    v = v - _median(v)[:, None]
+    step = np.diff(np.concatenate([v[:, :1], v, v[:, -1:]], axis=1), axis=1)
+    return v, (step[:, 1:] + step[:, :-1]) / 2, np.diff(step, axis=1)
+
+
+def _radii(v: np.ndarray, scale: list[np.ndarray]) -> np.ndarray:
+    """Each sample's radius in its source's phase space; 0 where a neighbour is missing or the source has no spread."""
+    a0, a1, slope, a2 = scale
+    value, d1, d2 = _phases(v)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        square = (value / a0) ** 2
+        square += np.nan_to_num((d1 / a1) ** 2)
+        square += np.nan_to_num(((d2 - slope * value) / a2) ** 2)
+    return np.sqrt(np.nan_to_num(square))
+
+
+def _scales(batch: pa.RecordBatch, row: np.ndarray, names: tuple[str, ...]) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64)[row][:, None] for c in names]
+
+
+def _bins(a: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.where(a > 0, np.floor(np.log(np.where(a > 0, a, 1.0)) / LOG_BIN), ZERO_BIN)
+
+
+def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (source, x and, once there is an ellipsoid, its spreads and radius) to counts (source, what, bin, n) of channel measures.
+
+    Samples outside the ellipsoid are left out.
+    """
     for batch in batches:
-        source, parts = batch.column("source"), []
+        code = batch.column("source").dictionary_encode()
+        names, keys, parts = code.dictionary, code.indices.to_numpy(zero_copy_only=False), []
         for row, _, raw in channel_groups(batch.column("x")):
             if raw.shape[1] < 3:
                 continue
             v = _finite(raw)
-            v -= _median(v)[:, None]
-            d1 = np.diff(v, axis=1)
-            d2 = np.diff(d1, axis=1)
-            mid = v[:, 1:-1]
+            if "radius_limit" in batch.schema.names:
+                *scale, limit = _scales(batch, row, ("a0", "a1", "slope", "a2", "radius_limit"))
+                with np.errstate(invalid="ignore"):
+                    v[_radii(v, scale) > limit] = np.nan
+            value, d1, d2 = _phases(v)
             with np.errstate(invalid="ignore", divide="ignore"):
-                both = np.where(np.isnan(d2), np.nan, mid)
+                both = np.where(np.isnan(d2), np.nan, value)
                 slope = np.nansum(both * d2, axis=1) / np.nansum(both * both, axis=1)
-                turned = d2 - slope[:, None] * mid
-            sizes = [np.abs(a) for a in (v, d1, turned)]
-            m0, m1, m2 = (_median(a) for a in sizes)
-            e0, e1, e2 = (_mean(a) for a in sizes)
-            parts.append((row, m0, m1, slope, m2, e0, e1, e2))
+                sizes = [np.abs(a) for a in (value, d1, d2 - slope[:, None] * value, np.diff(value, axis=1))]
+            found = [*(_bins(_median(a)) for a in sizes), np.floor(slope / SLOPE_BIN), *(_bins(_mean(a)) for a in sizes)]
+            known = ~np.isnan(slope) & ~np.isnan(_median(sizes[0]))
+            for what, bins in enumerate(found):
+                kept = known if what < 4 else known & (bins != ZERO_BIN)
+                parts.append(np.stack([keys[row][kept], np.full(kept.sum(), what), bins[kept]], axis=1).astype(np.int64))
         if parts:
-            row, *cols = (np.concatenate(c) for c in zip(*parts, strict=True))
+            bars, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [source.take(pa.array(row)), *(pa.array(c.astype(np.float64), from_pandas=True) for c in cols)],
-                names=["source", "m0", "m1", "slope", "m2", "e0", "e1", "e2"],
+                [names.take(pa.array(bars[:, 0])), pa.array(np.array(SHAPES)[bars[:, 1]]), pa.array(bars[:, 2].astype(np.float64)), pa.array(n)], names=["source", "what", "bin", "count"]
             )
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches (path, source, x, spreads of the source) to one row of channel measures per record."""
-    kinds = {"ch": pa.int32(), "radius": pa.float64(), "peak": pa.float64(), "run": pa.int32(), "wild": pa.bool_()}
+    kinds = {"ch": pa.int32(), "radius": pa.float64(), "run": pa.int32(), "wild": pa.bool_()}
     for batch in batches:
-        scale = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("a0", "a1", "slope", "a2")}
         parts = []
         for row, ch, raw in channel_groups(batch.column("x")):
             v = _finite(raw)
             wild = np.isnan(v).any(axis=1)
-            a0, a1, slope, a2 = (scale[c][row][:, None] for c in ("a0", "a1", "slope", "a2"))
-            radius, peak = np.full(len(row), np.nan), np.full(len(row), np.nan)
-            run = np.zeros(len(row), dtype=np.int32)
+            radius, run = np.full(len(row), np.nan), np.zeros(len(row), dtype=np.int32)
             if raw.shape[1] >= 3:
-                v -= _median(v)[:, None]
-                d1 = np.diff(v, axis=1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    square = (v / a0) ** 2
-                    step = np.nan_to_num((d1 / a1) ** 2) / 2
-                    square[:, 1:] += step
-                    square[:, :-1] += step
-                    square[:, 1:-1] += np.nan_to_num(((np.diff(d1, axis=1) - slope * v[:, 1:-1]) / a2) ** 2)
-                    square[np.isnan(square)] = -1.0
-                    radius = np.sqrt(square.max(axis=1).clip(0))
-                    peak = np.nan_to_num(np.abs(v), nan=-1.0).max(axis=1).clip(0)
-                    still = np.abs(np.diff(raw, axis=1)) <= STILL_SHARE * np.nan_to_num(a1)
+                scale = _scales(batch, row, ("a0", "a1", "slope", "a2"))
+                radius = _radii(v, scale).max(axis=1)
+                with np.errstate(invalid="ignore"):
+                    still = np.abs(np.diff(raw, axis=1)) <= STILL_SHARE * np.nan_to_num(_scales(batch, row, ("a3",))[0])
                 current = np.zeros(len(row), dtype=np.int32)
                 for t in range(still.shape[1]):
                     current = (current + 1) * still[:, t]
                     np.maximum(run, current, out=run)
-            parts.append((row, ch, radius, peak, run, wild))
+            parts.append((row, ch, radius, run, wild))
         if parts:
             row, *cols = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.lexsort((cols[0], row))
@@ -133,94 +161,126 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def source_spreads(signals: DataFrame) -> DataFrame:
-    """Robust spread of value, first and rotated second difference per source.
+def _quantile(bins: np.ndarray, counts: np.ndarray, q: float) -> float:
+    """Interpolated quantile of ascending ``bins`` that hold ``counts``."""
+    place, upto = (counts.sum() - 1) * q, np.cumsum(counts)
+    low, high = (bins[np.searchsorted(upto, i, side="right")] for i in (np.floor(place), np.ceil(place)))
+    return float(low + (high - low) * (place - np.floor(place)))
+
+
+def _from_bars(estimate):
+    """(source, what, bars) histograms, one a row, to (source, what, value) by ``estimate(bins, counts, what)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for what, bars in zip(batch.column("what").to_pylist(), batch.column("bars").to_pylist(), strict=True):
+                bins, counts = np.array(sorted((b["bin"], b["count"]) for b in bars)).T
+                found.append(estimate(bins, counts, what))
+            yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("what"), pa.array(found, type=pa.float64())], names=["source", "what", "value"])
+
+    return run
+
+
+def _per_source(counts: DataFrame, estimate) -> DataFrame:
+    """(source, what, value) from counts (source, what, bin, count), whose bins are bounded in number whatever the number of channels."""
+    summed = counts.groupBy("source", "what", "bin").agg(F.sum("count").alias("count")).where("count > 0")
+    bars = summed.groupBy("source", "what").agg(F.collect_list(F.struct("bin", "count")).alias("bars"))
+    return bars.mapInArrow(_from_bars(estimate), "source string, what string, value double")
+
+
+def _middle(bins: np.ndarray, counts: np.ndarray, what: str) -> float:
+    middle = np.floor(_quantile(bins, counts, 0.5))
+    return (middle + 0.5) * SLOPE_BIN if what == "slope" else 0.0 if middle == ZERO_BIN else float(np.exp((middle + 0.5) * LOG_BIN))
 
-    The median over channels of each channel's median deviation. Where that is zero
-    (coarse steps, many standing channels) the median, over the channels that move, of
-    the mean deviation; null only if no channel of the source moves.
+
+def shape_counts(signals: DataFrame) -> DataFrame:
+    """Histograms (source, what, bin, count) of the moving channels' ``SHAPES``.
+
+    Samples outside the ellipsoid that ``signals`` may carry (a0, a1, slope, a2, radius_limit) are left out.
+    """
+    columns = [c for c in ("source", "x", "a0", "a1", "slope", "a2", "radius_limit") if c in signals.columns]
+    counts = signals.select(*columns).mapInArrow(_shapes, "source string, what string, bin double, count bigint")
+    return counts.groupBy("source", "what", "bin").agg(F.sum("count").alias("count"))
+
+
+def source_spreads(counts: DataFrame) -> DataFrame:
+    """Robust spread of value, first and rotated second difference per source, the slope of the rotation and the spread of steps.
+
+    The median over moving channels of each channel's median deviation; where that is zero
+    (coarse steps) of the mean deviation. A source without a moving channel has no row.
     """
-    mid = lambda c: F.percentile_approx(c, 0.5, 1000)
-    columns = "source string, m0 double, m1 double, slope double, m2 double, e0 double, e1 double, e2 double"
-    per_channel = signals.select("source", "x").mapInArrow(_spread, columns)
-    positive = lambda c: F.when(c > 0, c)
-    spread = lambda k: F.coalesce(positive(mid(f"m{k}")) / F.lit(0.6745), mid(positive(F.col(f"e{k}"))) / F.lit(MEAN_SHARE))
-    return per_channel.groupBy("source").agg(
-        *(spread(k).alias(f"a{k}") for k in (0, 1, 2)), F.coalesce(mid("slope"), F.lit(0.0)).alias("slope")
-    ).select("source", "a0", "a1", "slope", "a2")
+    middles = _per_source(counts, _middle)
+    of = lambda what: F.max(F.when(F.col("what") == what, F.col("value")))
+    spread = lambda k: F.coalesce(F.nullif(of(f"m{k}"), F.lit(0.0)) / F.lit(0.6745), of(f"e{k}") / F.lit(MEAN_SHARE))
+    return middles.groupBy("source").agg(*(spread(k).alias(f"a{k}") for k in range(4)), F.coalesce(of("slope"), F.lit(0.0)).alias("slope"))
 
 
-def channel_measures(signals: DataFrame) -> DataFrame:
+def channel_measures(signals: DataFrame, spreads: DataFrame) -> DataFrame:
     """One row per record: path, source and per channel its phase-space radius, longest still run and bound flag."""
-    arrow_batches(signals.sparkSession)
-    spreads = cut(source_spreads(signals))
     joined = signals.select("path", "source", "x").join(small_side(spreads), "source", "left")
     return joined.mapInArrow(_measure, f"path string, source string, channels {CHANNELS}")
 
 
-def _quantile(bins: np.ndarray, counts: np.ndarray, q: float) -> float:
-    """Interpolated quantile of ascending ``bins`` that hold ``counts``."""
-    place, upto = (counts.sum() - 1) * q, np.cumsum(counts)
-    low, high = (bins[np.searchsorted(upto, i, side="right")] for i in (np.floor(place), np.ceil(place)))
-    return float(low + (high - low) * (place - np.floor(place)))
-
-
 def tail_limit(bins: np.ndarray, counts: np.ndarray, what: str) -> float:
-    """The limit of one source's histogram: a margin over the tail of what lies below the limit, from a robust start until it settles."""
+    """The limit of one source's histogram, set from the tail of what lies below the limit, from a robust start until it settles."""
     if what == "run":
-        beyond = lambda v: max(v * STILL_FACTOR, float(STILL_LEAST))
+        beyond = lambda middle, tail: max(tail * STILL_FACTOR, float(STILL_LEAST))
     else:
-        beyond = lambda v: v + 1 + np.log(MARGINS[what]) / LOG_BIN
+        beyond = lambda middle, tail: tail + 1 + np.log(MARGIN) / LOG_BIN + HEAVINESS * (tail - middle)
     middle, upper = (_quantile(bins, counts, q) for q in (0.5, 0.75))
-    limit = max(middle + START * (upper - middle), beyond(middle))
-    last = None
-    while limit != last:  # the bins kept only grow or only shrink
+    limit = max(middle + START * (upper - middle), beyond(middle, middle))
+    seen = set()
+    while limit not in seen:  # the bins kept mostly only grow or only shrink; a limit that comes back has settled
+        seen.add(limit)
         kept = bins < limit if what == "run" else bins <= limit
-        last, limit = limit, beyond(_quantile(bins[kept], counts[kept], TAIL))
+        limit = beyond(*(_quantile(bins[kept], counts[kept], q) for q in (0.5, TAIL)))
     return limit
 
 
-def _limits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One histogram a row to its limit."""
-    for batch in batches:
-        found = []
-        for what, bars in zip(batch.column("what").to_pylist(), batch.column("bars").to_pylist(), strict=True):
-            bins, counts = np.array(sorted((b["bin"], b["count"]) for b in bars)).T
-            found.append(tail_limit(bins, counts, what))
-        yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("what"), pa.array(found, type=pa.float64())], names=["source", "what", "limit_bin"])
-
-
 def source_limits(measures: DataFrame) -> DataFrame:
-    """Per source the largest radius and peak and the longest still run that count as normal.
+    """Per source the radius of its ellipsoid and the longest still run that counts as normal.
 
-    Measures are counted into histograms first, so the iteration only ever sees a
-    bounded number of bins per source, whatever the number of channels. It starts
-    from the median and the upper quartile, so up to a quarter of a source's channels may be
-    faulty.
+    The limits come from histograms, and start from the median and the upper quartile, so
+    up to a quarter of a source's channels may be faulty.
     """
     flat = measures.select("source", F.explode("channels").alias("c")).select("source", "c.*")
-    log_bin = lambda c: F.when(F.col(c) > 0, F.floor(F.log(c) / LOG_BIN))
-    named = flat.select(
-        "source",
-        F.explode(
-            F.create_map(
-                F.lit("radius"), log_bin("radius").cast("double"), F.lit("peak"), log_bin("peak").cast("double"), F.lit("run"), F.col("run").cast("double")
-            )
-        ).alias("what", "bin"),
-    )
-    bins = named.where("bin IS NOT NULL").groupBy("source", "what", "bin").count()
-    bars = bins.groupBy("source", "what").agg(F.collect_list(F.struct("bin", "count")).alias("bars"))
-    limits = bars.mapInArrow(_limits, "source string, what string, limit_bin double")
+    radius = F.when(F.col("radius") > 0, F.floor(F.log("radius") / LOG_BIN)).cast("double")
+    named = flat.select("source", F.explode(F.create_map(F.lit("radius"), radius, F.lit("run"), F.col("run").cast("double"))).alias("what", "bin"))
+    counts = named.where("bin IS NOT NULL").groupBy("source", "what", "bin").agg(F.count("*").alias("count"))
+    limits = _per_source(counts, tail_limit)
     of = lambda what, value: F.max(F.when(F.col("what") == what, value)).alias(f"{what}_limit")
-    size = F.exp(F.col("limit_bin") * LOG_BIN)
-    return limits.groupBy("source").agg(of("radius", size), of("peak", size), of("run", F.col("limit_bin")))
+    return limits.groupBy("source").agg(of("radius", F.exp(F.col("value") * LOG_BIN)), of("run", F.col("value")))
+
+
+def fit_ellipsoids(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The channels' measures under the last ellipsoids, and those ellipsoids (spreads, slope, radius_limit, run_limit) per source.
+
+    A round measures the channels, sets the limits, and fits the spreads again without the
+    samples outside; only records that have such samples are read for that. Spreads are
+    middles of bins, so they come to a stand: the rounds end when all of them are as in a
+    round before.
+    """
+    whole = cut(shape_counts(signals))
+    spreads, seen = cut(source_spreads(whole)), set()
+    while True:
+        seen.add(frozenset(map(tuple, spreads.collect())))  # one row per source
+        measures = cut(channel_measures(signals, spreads))
+        ellipsoids = cut(spreads.join(source_limits(measures), "source", "full"))
+        outside = F.exists("channels", lambda c: c["radius"] > F.col("radius_limit"))
+        hit = cut(measures.join(small_side(ellipsoids), "source").where(outside).select("path").distinct())
+        hit = cut(signals.select("path", "source", "x").join(small_side(hit), "path", "left_semi"))
+        without, before = shape_counts(hit.join(small_side(ellipsoids), "source", "left")), shape_counts(hit)
+        spreads = cut(source_spreads(whole.unionByName(without).unionByName(before.withColumn("count", -F.col("count")))))
+        if frozenset(map(tuple, spreads.collect())) in seen:
+            return measures, ellipsoids
 
 
 def _reasons(ch: Column) -> Column:
     return F.array_compact(
         F.array(
             F.when(ch["wild"], F.lit("bound")),
-            F.when((ch["radius"] > F.col("radius_limit")) & (ch["peak"] > F.col("peak_limit")), F.lit("spike")),
+            F.when(ch["radius"] > F.col("radius_limit"), F.lit("spike")),
             F.when(ch["run"] >= F.col("run_limit"), F.lit("stuck")),
         )
     )
@@ -238,11 +298,12 @@ def implausible_channels(signals: DataFrame) -> DataFrame:
     channel once, with its largest measures.
     """
     signals = signals.where("path IS NOT NULL AND x IS NOT NULL").select("path", F.coalesce("source", F.lit("")).alias("source"), "x")
-    measures = cut(channel_measures(signals))
-    limits = small_side(cut(source_limits(measures)))
+    arrow_batches(signals.sparkSession)
+    measures, ellipsoids = fit_ellipsoids(signals)
+    limits = small_side(ellipsoids)
     flagged = (
         measures.join(limits, "source", "left")
-        .select("path", "source", F.explode("channels").alias("c"), "radius_limit", "peak_limit", "run_limit")
+        .select("path", "source", F.explode("channels").alias("c"), "radius_limit", "run_limit")
         .withColumn("reasons", _reasons(F.col("c")))
         .where(F.size("reasons") > 0)
     )
