@@ -115,3 +115,35 @@ def test_a_hot_group_of_equal_and_altered_signals(spark):
     found = {(r["train_path"], r["eval_path"]) for r in overlap.cross_split_pairs(table, spark.createDataFrame([(s, p) for p, s in split.items()], "split string, path string")).collect()}
     group = [p for p, _ in rows[:40]]
     assert found == {(a, b) for a in group for b in group if split[a] == "train" and split[b] == "val"}
+
+
+def test_shifted_copies_are_found_and_the_next_window_is_not(spark):
+    rng = np.random.default_rng(11)
+    rows, splits, want = [], [], set()
+    for k in range(40):
+        long = signal(rng, n=110)
+        shift = (-3, -2, -1, 1, 2, 3)[k % 6] if k < 24 else 32
+        rows += [(f"t{k}", long[:, 10:74]), (f"v{k}", long[:, 10 + shift : 74 + shift])]
+        splits += [("train", f"t{k}"), ("test", f"v{k}")]
+        if k < 24:
+            want.add((f"t{k}", f"v{k}"))
+    table = spark.createDataFrame([(p, x.tolist(), "", "") for p, x in rows], SCHEMA)
+    pairs = overlap.cross_split_pairs(table, spark.createDataFrame(splits, "split string, path string")).collect()
+    assert {(r["train_path"], r["eval_path"]) for r in pairs} == want
+
+
+def test_long_posting_lists_are_joined_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "SLICE", 7)
+    test_cosine_join_is_exact(spark, 0.3)
+
+
+def test_the_choice_among_rows_of_a_path_does_not_depend_on_their_order(spark):
+    rng = np.random.default_rng(12)
+    x, y = signal(rng), signal(rng)
+    rows = [("a", x), ("a", y), ("b", x), ("c", y)]
+    splits = spark.createDataFrame([("train", "a"), ("val", "b"), ("test", "c")], "split string, path string")
+    found = [
+        {(r["train_path"], r["eval_path"]) for r in overlap.cross_split_pairs(spark.createDataFrame([(p, v.tolist(), "", "") for p, v in order], SCHEMA), splits).collect()}
+        for order in (rows, rows[::-1])
+    ]
+    assert found[0] == found[1] and len(found[0]) == 1
