@@ -97,3 +97,20 @@ def test_copies_do_not_vouch_for_each_other(spark):
     documents = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     found = [r["doc_id"] for r in truncation.truncated(documents).collect()]
     assert sorted(found) == list(range(200, 400))
+
+
+def test_the_trigrams_decide(tables, monkeypatch):
+    documents, _ = tables
+    behind_a_word = {r["doc_id"] for r in documents.where("source = 'prose' AND text LIKE '% of'").collect()}
+    assert len(behind_a_word) == 30
+    assert behind_a_word <= {r["doc_id"] for r in truncation.truncated(documents).collect()}
+    monkeypatch.setattr(truncation, "SEEN", 10**9)  # no trigram is frequent
+    assert not behind_a_word & {r["doc_id"] for r in truncation.truncated(documents).collect()}
+
+
+def test_headlines_cut_between_words(spark):
+    rng = random.Random(9)
+    rows = [(k, headline(rng), "headlines") for k in range(600)]
+    rows += [(1000 + k, h[: h.index(" the ") + 4], "headlines") for k, h in ((k, headline(rng)) for k in range(5))]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert sorted(r["doc_id"] for r in truncation.truncated(documents).collect()) == list(range(1000, 1005))

@@ -1,15 +1,18 @@
 """Texts that were cut by a field limit or in transfer.
 
 Only SQL expressions: every text becomes a list of tokens (words, single ideographs,
-marks), and each position is counted with its word trigram, as internal or as the end
-of the text, per source; texts with the same tokens count once. A text that does not end with a closing mark (one that often
-ends texts) joins its last trigram with these counts: where a trigram is frequent
-inside the texts of its source but almost never ends one, the text was cut there.
-Rare trigrams fall back on bigrams, single tokens and the kind of the token; headlines,
-whose words often end a text, set a stricter standard of their own. A last word whose
-last letters are frequent inside words but almost never end one was cut inside the
-word. Behind an ellipsis the words before it decide, by how often another closing
-mark follows them anywhere. A text that ends in half a character is cut in any case.
+marks), and each position is counted with its word trigram, as inside or as the end of
+the text, per source; texts with the same tokens count once. A text that ends neither with
+a closing mark (one that often ends texts) nor with an ellipsis joins its last trigram
+with these counts: where it is frequent inside the texts of its source but almost never
+ends one, the text was cut there. A trigram counts with its words, with the kinds of its
+first two words, and with three kinds, each only where it was seen often enough inside
+texts, smoothed with the next coarser one; a rare trigram falls back on the kind of its
+last token. Where kinds often end texts (headlines), only trigrams with a word in them
+decide. A last word whose last letters are frequent inside words but almost never end one
+was cut inside the word. Behind an ellipsis the trigram before it decides, by how often
+another closing mark follows it anywhere. A text that ends in half a character is cut in
+any case.
 """
 
 from __future__ import annotations
@@ -17,21 +20,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavequarry.session import cut
+from wavequarry.session import cut, small_side
 
-#: A text whose last trigram ends texts of its source less often than this, by the share of its occurrences, is cut ...
-END_RATE = 0.6
-#: ... but in a source where more than this share of all words ends a text (headlines) only below this, if it was seen so often.
-HEADLINE_RATE, HEADLINE_END_RATE, HEADLINE_SEEN = 0.05, 0.01, 20
+#: A text whose last trigram ends texts of its source less often than this, by the share of its occurrences, is cut.
+END_RATE = 0.1
+#: A trigram counts as frequent inside texts from so many occurrences on.
+SEEN = 20
+#: Where more than this share of a kind of word ends a text (headlines), kinds alone say nothing.
+HEADLINE_RATE = 0.05
 #: A text with an ellipsis is cut if a closing mark follows the words before it less often than this.
 CLOSE_RATE = 0.012
-#: A last word whose last letters end words less often than this is cut.
-LETTER_RATE = 0.02
-#: Letters of that ending; and how often it must have been seen inside words.
-LETTERS = 4
-LETTERS_SEEN = 20
-#: Weight of the shorter context when a longer one is rare.
-BACKOFF = 4.0
+#: A last word whose last so many letters end words less often than this is cut; endings are taken to have been seen so many times more.
+LETTERS, LETTER_RATE, LETTER_WEIGHT = 4, 0.02, 2.0
+#: Weight of the coarser trigram, for ends of texts and before an ellipsis.
+BACKOFF, CLOSE_BACKOFF = 10.0, 4.0
 #: What stands for the bytes of a character that was cut in two.
 BROKEN = "\ufffd"
 #: A mark closes texts if it ends one in at least this share of its occurrences.
@@ -39,8 +41,8 @@ MARK_RATE = 0.05
 
 _INVISIBLE = r"[\p{Cf}\x{FE00}-\x{FE0F}]"
 _TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|(?:(?![\p{IsHan}\p{IsHiragana}\p{IsKatakana}])[\p{L}\p{N}][\p{M}]*)+|[^\s\p{Z}\p{C}\p{L}\p{N}\p{M}]"
-#: The contexts of a position from the longest to the shortest: its last three, two and one tokens, and its kind.
-_LEVELS = (("c", "b", "a"), ("c", "b"), ("c",), ("kind",))
+#: The forms of a trigram from the finest to the coarsest; the last is its last token's kind alone.
+_FORMS = (("a", "b", "c"), ("ka", "kb", "c"), ("ka", "kb", "kc"), ("kc",))
 
 
 def text_tokens(text: Column) -> Column:
@@ -55,84 +57,107 @@ def _shape(token: Column) -> Column:
 
 
 def _kind(shape: Column) -> Column:
-    return F.when(shape.isin("<n>", "<N>"), shape).when(shape.rlike(r"^\p{IsHan}"), F.lit("<h>")).when(shape.rlike(r"^\p{L}"), F.lit("<w>")).otherwise(shape)
+    kind = F.when(shape.isin("<n>", "<N>", ""), shape).when(shape.rlike(r"^\p{IsHan}"), F.lit("<h>"))
+    return kind.when(shape.rlike(r"^\p{IsLatin}"), F.lit("<w>")).when(shape.rlike(r"^\p{L}"), F.lit("<v>")).otherwise(shape)
+
+
+def _with_kinds(grams: DataFrame) -> DataFrame:
+    for c in "abc":
+        grams = grams.withColumn(f"k{c}", _kind(F.col(c)))
+    return grams
+
+
+def _look_up(lasts: DataFrame, grams: DataFrame, scope: tuple[str, ...], sums: tuple[str, ...]) -> DataFrame:
+    """``lasts`` with the sums of ``grams`` in every form of their trigram; only forms that they have are summed."""
+    for level, form in enumerate(_FORMS):
+        keys = [*scope, *form]
+        wanted = small_side(cut(lasts.select(*keys).distinct()))
+        found = grams.join(wanted, keys, "left_semi").groupBy(*keys).agg(*(F.sum(k).alias(f"{k}{level}") for k in sums))
+        lasts = lasts.join(small_side(cut(found)), keys, "left")
+    return lasts.select(*(F.coalesce(c, F.lit(0)).alias(c) if c[:-1] in sums and c[-1] in "0123" else c for c in lasts.columns))
+
+
+def _end_rate(own: float = 1.0) -> Column:
+    """How often the trigram ends texts of the source, its own end not counted; null where no form of it is frequent inside texts."""
+    ends = [F.greatest(F.col(f"terminal{k}") - own, F.lit(0.0)) for k in range(4)]
+    inside = [F.col(f"internal{k}") for k in range(4)]
+    last = ends[3] / F.greatest(ends[3] + inside[3], F.lit(1.0))
+    headlines = last > HEADLINE_RATE
+    rate = last
+    for k in (2, 1, 0):
+        frequent = (inside[k] >= SEEN) & (~headlines if k == 2 else F.lit(True))
+        rate = F.when(frequent, (ends[k] + BACKOFF * rate) / (ends[k] + inside[k] + BACKOFF)).otherwise(rate)
+    known = (inside[0] >= SEEN) | (inside[1] >= SEEN) | ((inside[3] >= SEEN) & ~headlines)
+    return F.when(known, rate)
+
+
+def _close_rate() -> Column:
+    """How often a closing mark follows the trigram, over all sources."""
+    rate = F.col("closed2") / F.greatest(F.col("internal2"), F.lit(1))
+    for k in (1, 0):
+        rate = (F.col(f"closed{k}") + CLOSE_BACKOFF * rate) / (F.col(f"internal{k}") + CLOSE_BACKOFF)
+    return rate
 
 
-def _counts(grams: DataFrame, keys: tuple[str, ...], scope: tuple[str, ...], sums: tuple[str, ...]) -> DataFrame:
-    name = "".join(keys)
-    return grams.groupBy(*scope, *keys).agg(*(F.sum(k).alias(f"{k}{len(scope)}_{name}") for k in sums))
+def _letters(texts: DataFrame) -> DataFrame:
+    """(ending, inside, ends): how often up to ``LETTERS`` last letters stand inside words and at their ends, over all whole words."""
+    words = texts.select(F.explode(F.slice("raw", 1, F.greatest(F.size("raw") - 2, F.lit(0)))).alias("w")).where(_spelt(F.col("w")))
+    words = words.groupBy(F.lower("w").alias("w")).count()
+    place = F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.struct(i.alias("i"), _ending(F.col("w"), i).alias("e")))
+    places = words.select("count", F.length("w").alias("n"), F.explode(place).alias("p"))
+    of = lambda where: F.sum(F.when(where, F.col("count")).otherwise(0))
+    return places.groupBy(F.col("p.e").alias("ending")).agg(of(F.col("p.i") < F.col("n")).alias("inside"), of(F.col("p.i") == F.col("n")).alias("ends"))
 
 
-def _rate(hits: str, others: str | None, seen: str | None, own: float) -> Column:
-    """The share of ``hits`` for the longest context, each level smoothed with the next shorter one; own occurrences are not counted."""
-    rate = None
-    for keys in reversed(_LEVELS):
-        count = lambda c: F.coalesce(F.col(f"{c}_{''.join(keys)}"), F.lit(0))  # noqa: B023, E731
-        hit = F.greatest(count(hits) - own, F.lit(0.0))
-        whole = hit + count(others) if others else count(seen)
-        rate = hit / F.greatest(whole, F.lit(1.0)) if rate is None else (hit + BACKOFF * rate) / (whole + BACKOFF)
-    return rate
+def _spelt(word: Column) -> Column:
+    return word.rlike(r"^\p{L}") & ~word.rlike(r"^\p{IsHan}")
+
+
+def _ending(word: Column, i: Column) -> Column:
+    """The up to ``LETTERS`` letters of a word up to its ``i``-th, with a mark for its start."""
+    return F.substring(F.concat(F.lit("^"), word), F.greatest(i - LETTERS + 2, F.lit(1)), F.least(i + 1, F.lit(LETTERS)))
 
 
 def ending_scores(documents: DataFrame) -> DataFrame:
-    """One row per text with tokens: doc_id, source, last, broken (ends in half a character), end_rate (texts without a closing mark),
-    close_rate (texts with an ellipsis), letter_rate, headlines (of the source) and seen (the last trigram inside texts of the source)."""
+    """One row per text that ends without a closing mark: doc_id, source, broken (ends in half a character), end_rate,
+    close_rate (only behind an ellipsis) and letter_rate (only of a last word whose letters are known)."""
     texts = documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text").where("text IS NOT NULL")
     texts = texts.withColumn("raw", text_tokens(F.col("text"))).where("size(raw) > 0")
     copies = cut(texts.select("doc_id", "source", F.md5(F.array_join("raw", " ")).alias("key"), "raw"))  # no token holds a space
     texts = cut(copies.groupBy("source", "key").agg(F.first("raw").alias("raw")))
     shaped = texts.withColumn("t", F.transform("raw", _shape))
     at = lambda i: F.coalesce(F.get("t", i), F.lit(""))
-    gram = lambda i: F.struct(at(i - 2).alias("a"), at(i - 1).alias("b"), at(i).alias("c"), F.get("t", i + 1).alias("next"))
-    grams = (
-        shaped.select("source", F.explode(F.transform(F.sequence(F.lit(0), F.size("t") - 1), gram)).alias("g"))
-        .select("source", "g.*")
-        .groupBy("source", "a", "b", "c", "next")
-        .count()
-    )
-    grams = cut(grams)
-    marks = grams.groupBy("c").agg(F.sum("count").alias("n"), F.sum(F.when(F.col("next").isNull(), F.col("count")).otherwise(0)).alias("ends"))
+    # of what follows only marks matter; all words are one
+    follows = lambda i: F.when(F.get("t", i).rlike(r"^[<\p{L}\p{N}]"), F.lit("")).otherwise(F.get("t", i))
+    gram = lambda i: F.struct(at(i - 2).alias("a"), at(i - 1).alias("b"), at(i).alias("c"), follows(i + 1).alias("next"))
+    grams = shaped.select("source", F.explode(F.transform(F.sequence(F.lit(0), F.size("t") - 1), gram)).alias("g")).select("source", "g.*")
+    grams = cut(grams.groupBy("source", "a", "b", "c", "next").count())
+    of = lambda where: F.sum(F.when(where, F.col("count")).otherwise(0))
+    marks = grams.groupBy("c").agg(F.sum("count").alias("n"), of(F.col("next").isNull()).alias("ends"))
     marks = marks.where((F.col("ends") >= MARK_RATE * F.col("n")) & ~F.col("c").rlike(r"^[<\p{L}\p{N}]") & (F.col("c") != "…"))
-    closing = marks.select(F.col("c").alias("next"), F.lit(True).alias("closes"))
-    counted = grams.join(closing, "next", "left").select(
-        "source", "a", "b", "c", _kind(F.col("c")).alias("kind"),
-        F.when(F.col("next").isNotNull(), F.col("count")).otherwise(0).alias("internal"),
-        F.when(F.col("next").isNull(), F.col("count")).otherwise(0).alias("terminal"),
-        F.when(F.col("closes"), F.col("count")).otherwise(0).alias("closed"),
-    )
-    trigrams = cut(counted.groupBy("source", "a", "b", "c", "kind").agg(*(F.sum(k).alias(k) for k in ("internal", "terminal", "closed"))))
-    n = F.size("t")
-    dotted = F.element_at("t", -1) == "…"
+    closing = small_side(cut(marks.select(F.col("c").alias("next"), F.lit(True).alias("closes"))))
+    grams = grams.join(closing, "next", "left").withColumn("closed", F.when(F.col("closes"), F.col("count")).otherwise(0))
+    grams = grams.withColumn("internal", F.when(F.col("next").isNotNull(), F.col("count")).otherwise(0)).withColumn("terminal", F.col("count") - F.col("internal"))
+    grams = _with_kinds(grams.select("source", "a", "b", "c", "internal", "terminal", "closed"))
+    n, dotted = F.size("t"), F.element_at("t", -1) == "…"
     back = F.when(dotted & (n > 1), F.lit(1)).otherwise(0)
-    last = shaped.select(
-        "key", "source", dotted.alias("dotted"), (F.element_at("t", -1) == BROKEN).alias("broken"),
-        F.get("raw", n - 1 - back).alias("last"),
+    lasts = shaped.select(
+        "key", "source", dotted.alias("dotted"), (F.element_at("t", -1) == BROKEN).alias("broken"), F.get("raw", n - 1 - back).alias("last"),
         at(n - 1 - back).alias("c"), at(n - 2 - back).alias("b"), at(n - 3 - back).alias("a"),
-    ).withColumn("kind", _kind(F.col("c")))
-    for keys in _LEVELS:
-        last = last.join(_counts(trigrams, keys, ("source",), ("internal", "terminal")), ["source", *keys], "left")
-        last = last.join(_counts(trigrams, keys, (), ("internal", "closed")), list(keys), "left")
-    open_ends = trigrams.join(closing.select(F.col("next").alias("c"), F.col("closes").alias("mark")), "c", "left").where("mark IS NULL AND c <> '…'")
-    by_source = open_ends.groupBy("source").agg((F.sum("terminal") / F.sum(F.col("terminal") + F.col("internal"))).alias("open_rate"))
-    last = last.join(by_source, "source", "left").join(closing.select(F.col("next").alias("c"), F.col("closes").alias("mark")), "c", "left")
-    words = texts.select(F.explode(F.slice("raw", 1, F.greatest(F.size("raw") - 2, F.lit(0)))).alias("w")).where(F.col("w").rlike(r"^\p{L}") & ~F.col("w").rlike(r"^\p{IsHan}"))
-    words = cut(words.groupBy(F.lower("w").alias("w")).count())
-    ending = lambda w, i: F.substring(F.concat(F.lit("^"), w), F.greatest(i - LETTERS + 2, F.lit(1)), F.least(i + 1, F.lit(LETTERS)))
-    places = words.select("count", F.length("w").alias("n"), F.explode(F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.struct(i.alias("i"), ending(F.col("w"), i).alias("e")))).alias("p"))
-    letters = places.groupBy(F.col("p.e").alias("ending")).agg(
-        F.sum(F.when(F.col("p.i") < F.col("n"), F.col("count")).otherwise(0)).alias("inside"),
-        F.sum(F.when(F.col("p.i") == F.col("n"), F.col("count")).otherwise(0)).alias("ends"),
-    )
-    last = last.withColumn("ending", F.when(F.col("last").rlike(r"^\p{L}") & ~F.col("last").rlike(r"^\p{IsHan}"), ending(F.lower("last"), F.length("last"))))
-    scores = last.join(letters, "ending", "left").select(
-        "key", "source", "last", "dotted", "broken",
-        F.when(~F.col("dotted") & F.col("mark").isNull(), _rate("terminal1", "internal1", None, 1.0)).alias("end_rate"),
-        F.when(F.col("dotted"), _rate("closed0", None, "internal0", 0.0)).alias("close_rate"),
-        F.when(F.col("mark").isNull() & (F.coalesce("inside", F.lit(0)) >= LETTERS_SEEN), F.col("ends") / (F.col("inside") + F.col("ends"))).alias("letter_rate"),
-        (F.coalesce("open_rate", F.lit(0.0)) > HEADLINE_RATE).alias("headlines"),
-        F.coalesce("internal1_cba", F.lit(0)).alias("seen"),
     )
-    return copies.select("doc_id", "source", "key").join(scores, ["source", "key"]).select("doc_id", *(c for c in scores.columns if c != "key"))
+    lasts = lasts.join(closing.select(F.col("next").alias("c"), F.col("closes").alias("mark")), "c", "left").where("dotted OR broken OR mark IS NULL")
+    lasts = cut(_with_kinds(lasts))
+    open_ends = _look_up(lasts.where("NOT dotted"), grams, ("source",), ("internal", "terminal"))
+    dots = _look_up(lasts.where("dotted"), grams, (), ("internal", "closed"))
+    kept = ["key", "source", "last", "mark", "broken"]
+    none = F.lit(None).cast("double")
+    scored = open_ends.select(*kept, F.when(F.col("mark").isNull(), _end_rate()).alias("end_rate"), none.alias("close_rate"))
+    scored = scored.unionByName(dots.select(*kept, none.alias("end_rate"), _close_rate().alias("close_rate")))
+    scored = cut(scored.withColumn("ending", F.when(F.col("mark").isNull() & _spelt(F.col("last")), _ending(F.lower("last"), F.length("last")))))
+    letters = _letters(texts).join(small_side(cut(scored.select("ending").where("ending IS NOT NULL").distinct())), "ending", "left_semi")
+    letter_rate = F.when(F.col("inside") > 0, (F.col("ends") + LETTER_WEIGHT) / (F.col("inside") + F.col("ends") + LETTER_WEIGHT))
+    scored = scored.join(small_side(cut(letters)), "ending", "left").select("key", "source", "broken", "end_rate", "close_rate", letter_rate.alias("letter_rate"))
+    return copies.select("doc_id", "source", "key").join(small_side(cut(scored)), ["source", "key"]).drop("key")
 
 
 def truncated(documents: DataFrame) -> DataFrame:
@@ -143,10 +168,8 @@ def truncated(documents: DataFrame) -> DataFrame:
     with the same tokens are counted and judged once, so copies do not vouch for each
     other; each of their rows is returned.
     """
-    scores = ending_scores(documents)
-    rare = F.when(F.col("headlines"), (F.col("end_rate") < HEADLINE_END_RATE) & (F.col("seen") >= HEADLINE_SEEN)).otherwise(F.col("end_rate") < END_RATE)
-    cut_off = F.col("broken") | rare | (F.col("close_rate") < CLOSE_RATE) | (F.col("letter_rate") < LETTER_RATE)
-    return scores.where(cut_off).select("doc_id", "source")
+    cut_off = F.col("broken") | (F.col("end_rate") < END_RATE) | (F.col("close_rate") < CLOSE_RATE) | (F.col("letter_rate") < LETTER_RATE)
+    return ending_scores(documents).where(cut_off).select("doc_id", "source")
 
 
 def truncation_rates(documents: DataFrame) -> DataFrame:
@@ -157,37 +180,43 @@ def truncation_rates(documents: DataFrame) -> DataFrame:
     return texts.join(found, "source", "left").select("source", "texts", F.coalesce("cut", F.lit(0)).alias("cut"), F.coalesce(share, F.lit(0.0)).alias("share"))
 
 
-#: The same result in DuckDB's SQL, for tests; it counts every copy of a text, so it can miss repeated cut texts.
+def _kind_sql(t: str) -> str:
+    return (
+        f"CASE WHEN {t} IN ('<n>', '<N>', '') THEN {t} WHEN regexp_matches({t}, '^\\p{{Han}}') THEN '<h>' "
+        f"WHEN regexp_matches({t}, '^\\p{{Latin}}') THEN '<w>' WHEN regexp_matches({t}, '^\\p{{L}}') THEN '<v>' ELSE {t} END"
+    )
+
+
+#: The same result in DuckDB's SQL, for tests.
 TRUNCATED_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(text,
     '[\p{{Cf}}\x{{FE00}}-\x{{FE0F}}]', '', 'g'), '\.{{3,}}', '…', 'g'), '([\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])', ' \1 ', 'g'),
     '(?:[\p{{L}}\p{{N}}]\p{{M}}*)+|[^\s\p{{Z}}\p{{C}}\p{{L}}\p{{N}}\p{{M}}]') AS raw FROM documents WHERE text IS NOT NULL),
-  s AS (SELECT doc_id, source, raw, len(raw) AS n, list_transform(raw, lambda w: CASE WHEN regexp_full_match(w, '\p{{N}}+') THEN '<n>' WHEN regexp_matches(w, '^\p{{Lu}}') THEN '<N>' ELSE lower(w) END) AS t
-    FROM d WHERE len(raw) > 0),
+  u AS (SELECT DISTINCT source, raw FROM d WHERE len(raw) > 0),
+  s AS (SELECT source, raw, len(raw) AS n, list_transform(raw, lambda w: CASE WHEN regexp_full_match(w, '\p{{N}}+') THEN '<n>' WHEN regexp_matches(w, '^\p{{Lu}}') THEN '<N>' ELSE lower(w) END) AS t FROM u),
   g AS (SELECT source, CASE WHEN i > 2 THEN t[i - 2] ELSE '' END AS a, CASE WHEN i > 1 THEN t[i - 1] ELSE '' END AS b, t[i] AS c, CASE WHEN i < n THEN t[i + 1] END AS nx
     FROM (SELECT source, t, n, unnest(range(1, n + 1)) AS i FROM s)),
   marks AS (SELECT c AS m FROM g WHERE NOT regexp_matches(c, '^[<\p{{L}}\p{{N}}]') AND c <> '…' GROUP BY c HAVING count(*) FILTER (nx IS NULL) >= {MARK_RATE} * count(*)),
-  q AS (SELECT source, a, b, c, CASE WHEN c IN ('<n>', '<N>') THEN c WHEN regexp_matches(c, '^\p{{Han}}') THEN '<h>' WHEN regexp_matches(c, '^\p{{L}}') THEN '<w>' ELSE c END AS kind,
-    count(nx) AS internal, count(*) - count(nx) AS terminal, count(m) AS closed FROM g LEFT JOIN marks ON nx = m GROUP BY ALL),
-  l AS (SELECT doc_id, source, n, t, t[-1] = '…' AS dotted, n - (CASE WHEN t[-1] = '…' AND n > 1 THEN 1 ELSE 0 END) AS e, raw FROM s),
-  z AS (SELECT doc_id, source, dotted, t[-1] = '{BROKEN}' AS broken, raw[e] AS last, t[e] AS c, CASE WHEN e > 1 THEN t[e - 1] ELSE '' END AS b, CASE WHEN e > 2 THEN t[e - 2] ELSE '' END AS a,
-    CASE WHEN t[e] IN ('<n>', '<N>') THEN t[e] WHEN regexp_matches(t[e], '^\p{{Han}}') THEN '<h>' WHEN regexp_matches(t[e], '^\p{{L}}') THEN '<w>' ELSE t[e] END AS kind FROM l),
-  s3 AS (SELECT source, c, b, a, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL), s2 AS (SELECT source, c, b, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL),
-  s1 AS (SELECT source, c, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL), s0 AS (SELECT source, kind, sum(internal) AS i, sum(terminal) AS t FROM q GROUP BY ALL),
-  a3 AS (SELECT c, b, a, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL), a2 AS (SELECT c, b, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL),
-  a1 AS (SELECT c, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL), a0 AS (SELECT kind, sum(internal) AS i, sum(closed) AS h FROM q GROUP BY ALL),
-  o AS (SELECT source, sum(terminal) / sum(terminal + internal) > {HEADLINE_RATE} AS headlines FROM q WHERE c <> '…' AND c NOT IN (SELECT m FROM marks) GROUP BY source),
+  q AS (SELECT source, a, b, c, {_kind_sql('a')} AS ka, {_kind_sql('b')} AS kb, {_kind_sql('c')} AS kc, count(nx) AS i, count(*) - count(nx) AS t, count(m) AS h FROM g LEFT JOIN marks ON nx = m GROUP BY ALL),
+  z AS (SELECT source, raw, t[-1] = '…' AS dotted, t[-1] = '{BROKEN}' AS broken, raw[e] AS last, t[e] AS c, CASE WHEN e > 1 THEN t[e - 1] ELSE '' END AS b, CASE WHEN e > 2 THEN t[e - 2] ELSE '' END AS a
+    FROM (SELECT *, n - (CASE WHEN t[-1] = '…' AND n > 1 THEN 1 ELSE 0 END) AS e FROM s)),
+  y AS (SELECT *, {_kind_sql('a')} AS ka, {_kind_sql('b')} AS kb, {_kind_sql('c')} AS kc FROM z),
+  s3 AS (SELECT source, a, b, c, sum(i) AS i3, sum(t) AS t3 FROM q GROUP BY ALL), s2 AS (SELECT source, ka, kb, c, sum(i) AS i2, sum(t) AS t2 FROM q GROUP BY ALL),
+  s1 AS (SELECT source, ka, kb, kc, sum(i) AS i1, sum(t) AS t1 FROM q GROUP BY ALL),
+  s0 AS (SELECT source, kc, sum(i) AS i0, sum(t) AS t0 FROM q GROUP BY ALL),
+  g3 AS (SELECT a, b, c, sum(i) AS j3, sum(h) AS h3 FROM q GROUP BY ALL), g2 AS (SELECT ka, kb, c, sum(i) AS j2, sum(h) AS h2 FROM q GROUP BY ALL), g1 AS (SELECT ka, kb, kc, sum(i) AS j1, sum(h) AS h1 FROM q GROUP BY ALL),
   w AS (SELECT lower(v) AS v, count(*) AS n FROM (SELECT unnest(raw[1 : greatest(n - 2, 0)]) AS v FROM s) WHERE regexp_matches(v, '^\p{{L}}') AND NOT regexp_matches(v, '^\p{{Han}}') GROUP BY 1),
   p AS (SELECT substring('^' || v, greatest(i - {LETTERS - 2}, 1) :: BIGINT, least(i + 1, {LETTERS}) :: BIGINT) AS ending, n, i < length(v) AS inner_ FROM (SELECT v, n, unnest(range(1, length(v) + 1)) AS i FROM w)),
   e AS (SELECT ending, coalesce(sum(n) FILTER (inner_), 0) AS inside, coalesce(sum(n) FILTER (NOT inner_), 0) AS ends FROM p GROUP BY ending),
-  r AS (SELECT z.*, m IS NULL AS open_, coalesce(headlines, false) AS headlines, coalesce(s3.i, 0) AS seen, coalesce(inside, 0) AS inside, ends,
-    greatest(coalesce(s0.t, 0) - 1, 0) AS t0, coalesce(s0.i, 0) AS i0, greatest(coalesce(s1.t, 0) - 1, 0) AS t1, coalesce(s1.i, 0) AS i1,
-    greatest(coalesce(s2.t, 0) - 1, 0) AS t2, coalesce(s2.i, 0) AS i2, greatest(coalesce(s3.t, 0) - 1, 0) AS t3, coalesce(s3.i, 0) AS i3,
-    coalesce(a0.h, 0) AS h0, coalesce(a0.i, 0) AS j0, coalesce(a1.h, 0) AS h1, coalesce(a1.i, 0) AS j1, coalesce(a2.h, 0) AS h2, coalesce(a2.i, 0) AS j2, coalesce(a3.h, 0) AS h3, coalesce(a3.i, 0) AS j3
-    FROM z LEFT JOIN s3 USING (source, c, b, a) LEFT JOIN s2 USING (source, c, b) LEFT JOIN s1 USING (source, c) LEFT JOIN s0 USING (source, kind)
-    LEFT JOIN a3 USING (c, b, a) LEFT JOIN a2 USING (c, b) LEFT JOIN a1 USING (c) LEFT JOIN a0 USING (kind) LEFT JOIN o USING (source) LEFT JOIN marks ON z.c = m
+  r AS (SELECT y.*, marks.m IS NULL AS open_, coalesce(inside,0) AS inside, coalesce(ends,0) AS ends,
+    coalesce(i0,0) AS i0, greatest(coalesce(t0, 0) - 1, 0) AS t0, coalesce(i1,0) AS i1, greatest(coalesce(t1, 0) - 1, 0) AS t1, coalesce(i2,0) AS i2, greatest(coalesce(t2, 0) - 1, 0) AS t2, coalesce(i3,0) AS i3, greatest(coalesce(t3, 0) - 1, 0) AS t3,
+    coalesce(j1,0) AS j1, coalesce(h1,0) AS h1, coalesce(j2,0) AS j2, coalesce(h2,0) AS h2, coalesce(j3,0) AS j3, coalesce(h3,0) AS h3
+    FROM y LEFT JOIN s3 USING (source, a, b, c) LEFT JOIN s2 USING (source, ka, kb, c) LEFT JOIN s1 USING (source, ka, kb, kc) LEFT JOIN s0 USING (source, kc)
+    LEFT JOIN g3 USING (a, b, c) LEFT JOIN g2 USING (ka, kb, c) LEFT JOIN g1 USING (ka, kb, kc) LEFT JOIN marks ON y.c = m
     LEFT JOIN e ON e.ending = CASE WHEN regexp_matches(last, '^\p{{L}}') AND NOT regexp_matches(last, '^\p{{Han}}')
       THEN substring('^' || lower(last), greatest(length(last) - {LETTERS - 2}, 1) :: BIGINT, least(length(last) + 1, {LETTERS}) :: BIGINT) END),
-  f AS (SELECT *, CASE WHEN NOT dotted AND open_ THEN (t3 + {BACKOFF} * (t2 + {BACKOFF} * (t1 + {BACKOFF} * (t0 / greatest(t0 + i0, 1))) / (t1 + i1 + {BACKOFF})) / (t2 + i2 + {BACKOFF})) / (t3 + i3 + {BACKOFF}) END AS end_rate,
-    CASE WHEN dotted THEN (h3 + {BACKOFF} * (h2 + {BACKOFF} * (h1 + {BACKOFF} * (h0 / greatest(j0, 1))) / (j1 + {BACKOFF})) / (j2 + {BACKOFF})) / (j3 + {BACKOFF}) END AS close_rate,
-    CASE WHEN open_ AND inside >= {LETTERS_SEEN} THEN ends / (inside + ends) END AS letter_rate FROM r)
-SELECT doc_id FROM f WHERE broken OR CASE WHEN headlines THEN end_rate < {HEADLINE_END_RATE} AND seen >= {HEADLINE_SEEN} ELSE end_rate < {END_RATE} END OR close_rate < {CLOSE_RATE} OR letter_rate < {LETTER_RATE}"""
+  f0 AS (SELECT *, t0 / greatest(t0 + i0, 1) AS r0 FROM r), f1 AS (SELECT *, CASE WHEN i1 >= {SEEN} AND r0 <= {HEADLINE_RATE} THEN (t1 + {BACKOFF} * r0) / (t1 + i1 + {BACKOFF}) ELSE r0 END AS r1 FROM f0),
+  f2 AS (SELECT *, CASE WHEN i2 >= {SEEN} THEN (t2 + {BACKOFF} * r1) / (t2 + i2 + {BACKOFF}) ELSE r1 END AS r2 FROM f1),
+  f AS (SELECT *, CASE WHEN dotted OR NOT open_ OR NOT (i3 >= {SEEN} OR i2 >= {SEEN} OR i0 >= {SEEN} AND r0 <= {HEADLINE_RATE}) THEN NULL WHEN i3 >= {SEEN} THEN (t3 + {BACKOFF} * r2) / (t3 + i3 + {BACKOFF}) ELSE r2 END AS end_rate,
+    CASE WHEN dotted THEN (h3 + {CLOSE_BACKOFF} * (h2 + {CLOSE_BACKOFF} * h1 / greatest(j1, 1)) / (j2 + {CLOSE_BACKOFF})) / (j3 + {CLOSE_BACKOFF}) END AS close_rate,
+    CASE WHEN open_ AND inside > 0 THEN (ends + {LETTER_WEIGHT}) / (inside + ends + {LETTER_WEIGHT}) END AS letter_rate FROM f2)
+SELECT doc_id FROM d JOIN f USING (source, raw) WHERE broken OR end_rate < {END_RATE} OR close_rate < {CLOSE_RATE} OR letter_rate < {LETTER_RATE}"""
