@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from wavequarry.operators.compaction import Bins, compact, file_report, freeze, pack
+from wavequarry.operators.compaction import TARGET_BYTES, Bins, _klass, compact, file_report, freeze, pack
 from wavequarry.operators.ranking import rank_in_class
 from wavequarry.session import scratch_path
 
@@ -102,3 +102,32 @@ def test_bins_of_many_parts_agree_with_the_manifest(spark, monkeypatch):
     placed = bins.place(manifest)
     assert placed.count() == 200
     assert placed.select("bin").distinct().count() == bins.count
+
+
+def test_sizes_of_several_classes_share_bins_at_the_production_target(spark):
+    sizes = [2560, 2816, 3072, 3584, 4096, 700_000, 5_000_000, 9_000_001, 30_000_000]
+    counts = [900, 40, 70, 300, 200, 90, 25, 11, 3]
+    manifest = spark.createDataFrame([(f"/s/{s}/{k}", s) for s, n in zip(sizes, counts, strict=True) for k in range(n)], "path string, bytes bigint")
+    bins = Bins(manifest)
+    placed = bins.place(manifest).groupBy("bin").agg(F.sum("bytes").alias("bytes"), F.count_distinct("bytes").alias("sizes"), F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in placed) == sum(counts)
+    total = sum(s * n for s, n in zip(sizes, counts, strict=True))
+    assert len(placed) == bins.count <= -(-total // TARGET_BYTES)
+    assert sum(r["sizes"] > 1 for r in placed) >= len(placed) / 2
+    assert max(r["bytes"] for r in placed) <= 2 * TARGET_BYTES
+
+
+def test_classes_round_sizes_up_and_keep_small_ones(spark):
+    sizes = [1, 5, 511, 512, 513, 2560, 4096, 4097, (1 << 30) + 1, (1 << 50) + 3]
+    rows = spark.createDataFrame([(s,) for s in sizes], "bytes bigint").select("bytes", _klass(F.col("bytes")).alias("k")).collect()
+    for r in rows:
+        assert r["bytes"] <= r["k"] <= r["bytes"] * (1 + 2.0**-8) + 1
+    assert [r["k"] for r in rows[:7]] == [1, 5, 511, 512, 514, 2560, 4096]
+
+
+def test_bins_share_write_tasks(spark, monkeypatch):
+    monkeypatch.setattr("wavequarry.operators.compaction.WRITE_TASKS", 3)
+    table = rows(spark, 200)
+    out = compact(table, table.select("path"), scratch_path(spark, "t"), target_bytes=1500)
+    assert out.count() == 200
+    assert out.select(F.input_file_name()).distinct().count() == out.select("bin").distinct().count() > 3

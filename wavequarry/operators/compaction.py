@@ -1,14 +1,15 @@
 """Consolidation of tiny files into few even ones.
 
 The files to merge are listed once into a frozen manifest (path, bytes, checksum).
-Their sizes are counted by size class, and first-fit decreasing packs the classes:
-it fills one bin after the other with the largest classes that still fit, and
-repeats a bin's pattern while the classes last. The driver sees only the class
-counts, whose number is bounded by ``CLASSES``. Within a class the files go to its
-bins in hash order, so a bin is a range of hashes per class and a row finds its bin
-by itself: signals move once, to the task that writes their bin as one file of a
-staging folder. The row counts and checksums of what was written are held against the
-manifest, and a rename makes the folder visible.
+Sizes are rounded up to ``SIGNIFICANT_BITS`` bits, so close sizes are one class and small
+ones stay exact whatever the target; first-fit decreasing packs the classes: it fills one
+bin after the other with the largest classes that still fit, and repeats a bin's pattern
+while the classes last. The driver sees only the class counts, at most a few hundred for
+every doubling of the size. Within a class the files go to its bins in hash order, so a bin
+is a range of hashes per class and a row finds its bin by itself: signals move once, to
+the task that writes their bin as one file of a staging folder. The row counts and
+checksums of what was written are held against the manifest, and a rename makes the folder
+visible (atomic where the file system's rename is).
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wavequarry.operators.ranking import hash_order, hash_part, rank_in_class
+from wavequarry.operators.ranking import hash_order, hash_part, part_bounds, rank_in_class
 from wavequarry.session import cut, small_side
 
 #: Bytes of payload that one consolidated file should hold.
 TARGET_BYTES = 32 << 20
-#: Size classes between nothing and a full bin.
-CLASSES = 1024
+#: Leading bits of a size that tell its class from others.
+SIGNIFICANT_BITS = 9
+#: Bins beyond this number share write tasks, each still with a file of its own.
+WRITE_TASKS = 20_000
 
 
 def pack(classes: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int]]:
@@ -38,8 +41,10 @@ def pack(classes: list[tuple[int, int]], capacity: int) -> list[tuple[int, int,
     used = dict.fromkeys(left, 0)
     runs, bins = [], 0
     while left:
-        space, pattern = capacity, {}
+        space, pattern, least = capacity, {}, next(reversed(left))
         for size in left:
+            if pattern and space < least:
+                break
             take = min(left[size], space // size)
             if not pattern and not take:
                 pattern[size] = 1
@@ -79,36 +84,46 @@ class Bins:
     def __init__(self, manifest: DataFrame, target_bytes: int = TARGET_BYTES) -> None:
         spark = manifest.sparkSession
         total, self.files, largest = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*"), F.coalesce(F.max("bytes"), F.lit(0))).first()
-        self.granule = max(1, target_bytes // CLASSES)
         even = math.ceil(total / max(1, math.ceil(total / target_bytes)))
+        ranked, counts = rank_in_class(manifest.withColumn("klass", _klass(F.col("bytes"))), "klass", "path", self.files)
+        rounded = sum(k * n for k, n in counts) / max(1, total)
         # the slack of one file and of the rounding to classes keeps the last bin from being a remnant
-        capacity = (even + min(largest, target_bytes)) // self.granule + 2
-        self.oversize = 2 * CLASSES + 2
-        ranked, counts = rank_in_class(manifest.withColumn("klass", self._klass()), "klass", "path", self.files)
-        rounded = sum(k * n for k, n in counts) * self.granule / max(1, total)
+        capacity = math.ceil((even + min(largest, target_bytes)) * max(1.0, rounded))
         rows, last = [], dict(counts)
-        for klass, first, take, start in reversed(pack(counts, math.ceil(capacity * max(1.0, rounded)))):
+        for klass, first, take, start in reversed(pack(counts, capacity)):
             rows.append((klass, first, last[klass], take, start))
             last[klass] = first
         self.count = max((start + math.ceil((end - first) / take) for _, first, end, take, start in rows), default=1)
-        runs = spark.createDataFrame(rows, "klass int, first bigint, last bigint, take bigint, start bigint")
+        runs = spark.createDataFrame(rows, "klass bigint, first bigint, last bigint, take bigint, start bigint")
         placed = ranked.join(small_side(runs), "klass").where("rank >= first AND rank < last")
         bin_ = (F.col("start") + F.floor((F.col("rank") - F.col("first")) / F.col("take"))).cast("int")
         starts = placed.select("klass", "part", bin_.alias("bin"), "h").groupBy("klass", "part", "bin").agg(F.min("h").alias("low"))
         order = Window.partitionBy("klass", "part").orderBy("low")
-        low = F.when(F.row_number().over(order) == 1, F.lit(0)).otherwise(F.col("low"))
-        high = F.coalesce(F.lead("low").over(order), F.lit((1 << 63) - 1))
-        self.ranges = cut(starts.select("klass", "part", "bin", low.cast("bigint").alias("low"), high.cast("bigint").alias("high")))
-
-    def _klass(self) -> Column:
-        return F.least(F.greatest(F.ceil(F.col("bytes") / self.granule), F.lit(1)), F.lit(self.oversize)).cast("int")
+        begin, end = part_bounds(F.col("part"), self.files)
+        low = F.when(F.row_number().over(order) == 1, begin).otherwise(F.col("low"))
+        ranges = cut(starts.select("klass", "part", "bin", low.alias("low"), F.coalesce(F.lead("low").over(order), end).alias("high")))
+        # as many slots of the hash order as the class has ranges, so a row meets about two of them
+        self.slots = cut(ranges.groupBy("klass").agg(F.count("*").alias("slots")))
+        slot = lambda c: _slot(F.col(c), F.col("slots"))
+        ranges = ranges.join(small_side(self.slots), "klass").withColumn("slot", F.explode(F.sequence(slot("low"), slot("high"))))
+        self.ranges = cut(ranges.drop("slots"))
 
     def place(self, rows: DataFrame) -> DataFrame:
         """``rows`` (path, bytes and others) with the ``bin`` of their size and hash; rows that no bin was made for are dropped."""
-        h = hash_order("path")
-        keyed = rows.withColumn("klass", self._klass()).withColumn("h", h).withColumn("part", hash_part(h, self.files))
-        found = keyed.join(small_side(self.ranges), ["klass", "part"]).where("h >= low AND (h < high OR high = 9223372036854775807)")
-        return found.drop("klass", "part", "h", "low", "high")
+        keyed = rows.withColumn("klass", _klass(F.col("bytes"))).withColumn("h", hash_order("path")).withColumn("part", hash_part(F.col("h"), self.files))
+        keyed = keyed.join(small_side(self.slots), "klass").withColumn("slot", _slot(F.col("h"), F.col("slots")))
+        found = keyed.join(small_side(self.ranges), ["klass", "part", "slot"]).where("h >= low AND h < high")
+        return found.drop("klass", "part", "h", "slot", "slots", "low", "high")
+
+
+def _klass(size: Column) -> Column:
+    """``size`` rounded up to its ``SIGNIFICANT_BITS`` first bits."""
+    unit = F.pow(F.lit(2.0), F.greatest(F.length(F.bin(size)) - SIGNIFICANT_BITS, F.lit(0)))
+    return F.greatest(F.ceil(size / unit) * unit, F.lit(1)).cast("bigint")
+
+
+def _slot(h: Column, slots: Column) -> Column:
+    return F.floor(h / F.lit(float(1 << 63)) * slots).cast("int")
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:
@@ -122,23 +137,26 @@ def compact(rows: DataFrame, listed: DataFrame, target: str, target_bytes: int =
     """Rewrite the listed ``rows`` (path, x) as few even files under ``target``; return path, x, bin as read back.
 
     One row is kept for each path of ``listed`` that has a signal. Rows with null path
-    or x are left out, other columns are not carried. No row at all commits one empty
-    file. Raises, and commits nothing, if a bin's rows or checksums differ from the
+    or x are left out, other columns are not carried. No row at all gives an empty
+    result and commits nothing. Raises, and commits nothing, if a bin's rows or checksums differ from the
     frozen manifest; ``target`` must not exist.
     """
     spark = rows.sparkSession
     rows = rows.where("path IS NOT NULL AND x IS NOT NULL").select("path", "x")
     manifest = freeze(rows, listed)
+    if manifest.isEmpty():
+        return manifest.join(rows, "path").select("path", "x", F.lit(0).alias("bin"))
     bins = Bins(manifest, target_bytes)
     frozen = cut(bins.place(manifest))
     staging = target + ".staging"
     signal = bins.place(rows.withColumn("bytes", _bytes())).select("bin", "path", F.xxhash64("path", "x").alias("checksum"), "x", F.lit(False).alias("frozen"))
     wanted = frozen.select("bin", "path", "checksum", F.lit(None).cast(rows.schema["x"].dataType).alias("x"), F.lit(True).alias("frozen"))
     same = Window.partitionBy("bin", "path", "checksum").orderBy(F.desc("frozen"))
-    tagged = signal.unionByName(wanted).repartitionById(bins.count, F.col("bin"))
+    tasks = min(bins.count, WRITE_TASKS)
+    tagged = signal.unionByName(wanted).repartitionById(tasks, F.col("bin") % tasks)
     # the manifest's row comes first; the signal row right behind it is the one that is kept
     chosen = tagged.withColumn("nth", F.row_number().over(same)).withColumn("known", F.first("frozen").over(same)).where("known AND nth = 2")
-    chosen.select("path", "x", "bin").write.parquet(staging)
+    chosen.select("path", "x", "bin").write.partitionBy("bin").parquet(staging)
     check = lambda df: df.groupBy("bin").agg(F.count("*").alias("n"), F.bit_xor("checksum").alias("checksum"))
     actual = check(spark.read.parquet(staging).select("bin", F.xxhash64("path", "x").alias("checksum")))
     wrong = check(frozen).join(actual.withColumnsRenamed({"n": "n2", "checksum": "c2"}), "bin", "full").where("NOT (n <=> n2) OR NOT (checksum <=> c2)")

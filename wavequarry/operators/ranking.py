@@ -19,12 +19,23 @@ def hash_order(key: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key), 1)
 
 
+def hash_parts(total: int) -> int:
+    return max(1, math.ceil(total / RANKED_ROWS))
+
+
 def hash_part(order: Column, total: int) -> Column:
     """The part of the hash order that a row belongs to, as many parts as ``total`` rows need."""
-    parts = max(1, math.ceil(total / RANKED_ROWS))
+    parts = hash_parts(total)
     return F.least(F.floor(order / F.lit(float(1 << 63)) * parts), F.lit(parts - 1)).cast("int")
 
 
+def part_bounds(part: Column, total: int) -> tuple[Column, Column]:
+    """Places in the hash order that enclose a part, with a margin for the rounding of doubles."""
+    at = lambda p: (p.cast("double") / hash_parts(total) * F.lit(float(1 << 63))).cast("bigint")
+    high = F.when(part >= hash_parts(total) - 1, F.lit((1 << 63) - 1)).otherwise(at(part + 1) + 4096)
+    return F.greatest(at(part) - 4096, F.lit(0)), high
+
+
 def rank_in_class(rows: DataFrame, klass: str, key: str, total: int) -> tuple[DataFrame, list[tuple]]:
     """``rows`` with ``h``, ``part`` and the ``rank`` from 0 in hash order within their class, and the (class, count) list.
 
