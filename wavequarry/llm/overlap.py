@@ -27,13 +27,13 @@ from wavequarry.functions.signals import channel_groups
 from wavequarry.session import arrow_batches, cut, small_side
 
 #: Extremes of either sign that name the surroundings of an anchor, and samples of these to each side.
-EXTREMES, AROUND = 4, 12
+EXTREMES, AROUND = 5, 14
 #: The stretches that have an anchor, as shares of a channel's samples: its largest (1) or smallest (-1) reading.
 ANCHORS = ((1, 0.0, 0.5), (-1, 0.25, 0.75), (1, 0.5, 1.0))
 #: Samples by which a copy may be shifted.
 SHIFT = 8
 #: Least cosine of a pair. Copies with noise, a rescaled amplitude, a changed stretch, a shift or
-#: a sixth of the channels replaced reach 0.4; records that only resemble stay below 0.06.
+#: a sixth of the channels replaced reach 0.39; records that only resemble stay below 0.06.
 THRESHOLD = 0.15
 #: Train postings of a term that one task joins; a longer list is cut into slices.
 SLICE = 20_000
