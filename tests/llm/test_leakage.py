@@ -128,3 +128,47 @@ def test_items_without_slots(spark):
     documents = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
     found = leakage.leaked_items(documents, spark.createDataFrame(items, "item_id bigint, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
+def question(rng, people, places, number):
+    a, b = people
+    return (
+        f"Early in the morning {a} carried {number} boxes from {places[0]} to {places[1]} and {b} counted them. After lunch {b} sold half of the {number} boxes "
+        f"to {a} in {places[1]}. How many boxes does {a} bring back to {places[0]} when {b} keeps the rest?"
+    )
+
+
+@pytest.fixture(scope="module")
+def renamed_tables(spark):
+    rng = random.Random(21)
+    items = [(1, question(rng, ("Talbena", "Oskdara"), ("Mirfila", "Lungora"), 480))]
+    docs = [(k, " ".join(sentence(rng) for _ in range(3))) for k in range(30)]
+    docs.append((100, docs[0][1] + " " + question(rng, ("Verniti", "Paxsulo"), ("Drobeni", "Talmasu"), 96) + " " + docs[1][1]))
+    mixed = question(rng, ("Verniti", "Paxsulo"), ("Drobeni", "Talmasu"), 96).split()
+    names = [k for k, w in enumerate(mixed) if w.strip(".?,")[:1].isupper() and w not in ("Early", "After", "How")]
+    for k in names:  # a name of its own wherever one stands
+        mixed[k] = name(rng)
+    docs.append((101, " ".join(mixed)))
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string")
+    return documents, spark.createDataFrame(items, "item_id bigint, text string")
+
+
+def test_a_question_with_other_values_is_found_if_its_slots_are_consistent(renamed_tables):
+    found = {(r["doc_id"], r["item_id"]) for r in leakage.leaked_items(*renamed_tables).collect()}
+    assert (100, 1) in found
+
+
+def test_slot_consistency_tells_renamed_from_mixed(renamed_tables, spark):
+    documents, items = renamed_tables
+    names = leakage.Names([items.first()["text"]])
+    schema = "id bigint, key bigint, at int, total int, slots array<string>"
+    leakage.arrow_batches(spark)
+    ours = documents.withColumnRenamed("doc_id", "id").mapInArrow(leakage._windows(names), schema)
+    theirs = items.withColumnRenamed("item_id", "id").mapInArrow(leakage._windows(names), schema).withColumnsRenamed({"id": "item_id", "slots": "item_slots"})
+    matched = {r["id"]: r["matched"] for r in leakage.template_matches(ours, theirs).collect()}
+    assert matched[100] == matched[101]  # the templates are the same
+    pairs = spark.createDataFrame([(100, 1), (101, 1)], "id bigint, item_id bigint")
+    slots = {r["id"]: r for r in leakage.consistent_windows(ours, theirs, pairs).collect()}
+    assert len(slots[100]["consistent"]) == matched[100]
+    assert len(slots[101]["consistent"]) < 0.6 * matched[101]
+    assert slots[100]["renamed"]["verniti"] == "talbena" and slots[100]["renamed"]["96"] == "480"

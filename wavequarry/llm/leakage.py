@@ -2,13 +2,18 @@
 
 Texts are brought to templates: numbers, names and units become typed placeholders,
 invisible characters and case go. Windows of template tokens of the corpus are
-hash-joined with those of the evaluation items; a window counts if the values in its
-slots all agree as well, so a common pattern with other names in it says nothing. A
-window without a slot counts unless it is a stock phrase: one that most documents have
-without much else of the item.
+hash-joined with those of the evaluation items, whatever the values in their slots. Then
+slots must be consistent: over all windows of a document and an item every value of the
+item stands for one value of the document and the other way round, itself where that
+occurs, and windows that disagree with this mapping do not count; so a common pattern
+with other names in it says little, and a question with other names and numbers in it is
+still found. A window without a slot counts unless it is a stock phrase: one that most
+documents have without much else of the item.
 Documents whose consistent windows cover enough of an item are candidates; a local
-alignment of the whole document with the item, in the item's order and in one passage
-or few, then measures the share of the item's letters and digits that it holds.
+alignment of the whole document with the item, in the item's order and in one passage or
+few, then measures the share of the item's letters and digits that it holds. Where most
+windows of an item agree only under other values, the alignment takes the document's values for
+those of the item that they stand for, and must hold more.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavequarry.session import arrow_batches, cut, small_side
@@ -31,6 +36,8 @@ WINDOW = 6
 CANDIDATE_SHARE = 0.1
 #: ... and a found document holds at least this share of its letters and digits.
 LEAST_SHARE = 0.5
+#: An item under other values takes this share of its windows, consistent with one mapping, and of its letters and digits under that mapping.
+RENAMED_WINDOWS, RENAMED_SHARE = 0.6, 0.75
 #: A passage holds at least so many letters and digits of the item.
 PASSAGE_LETTERS = 12
 #: At most so many passages make up the share.
@@ -45,8 +52,8 @@ OWN_SHARE = 0.25
 COMMON_SHARE = 0.02
 #: Unit words that become one placeholder.
 UNITS = frozenset("mm cm m km mg g kg ml l ms s min h hz khz mhz v mv uv µv a ma w kw pa kpa bar °c °f % px kb mb gb tb".split())
-#: Window rows that a worker hands over at once.
-BATCH_ROWS = 20_000
+#: Window rows that a worker hands over at once; windows of an item whose flags make up one number; pairs that one task aligns.
+BATCH_ROWS, FLAGS, ALIGNED = 20_000, 62, 200
 
 _TOKEN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|(?:(?![\p{Han}\p{Hiragana}\p{Katakana}])[\p{L}\p{M}\p{N}])+|[%°]\p{L}?")
 _INVISIBLE = regex.compile(r"\p{Cf}+")
@@ -165,12 +172,13 @@ def _holds_window(matched: list[int], own: Sequence[int], total: int) -> bool:
     return any(places.issuperset(range(at, min(at + WINDOW, total))) for at in own)
 
 
-def held_share(document: str, item: str, names: Names, own: Sequence[int] = ()) -> float:
+def held_share(document: str, item: str, names: Names, own: Sequence[int] = (), renamed: dict[str, str] | None = None) -> float:
     """The share of the item's letters and digits that the document holds in the item's order, in at most ``PASSAGES`` passages with a slot.
 
     Each passage must hold ``PASSAGE_LETTERS`` of them and a slot's value or a whole window
     that starts at one of the item's tokens ``own``. An item longer
-    than ``PIECE`` tokens is held piece by piece, each in as many passages.
+    than ``PIECE`` tokens is held piece by piece, each in as many passages. ``renamed``
+    has values of the document that stand for others of the item.
     """
     words = tokens(item)
     _, values = template(words, names)
@@ -178,6 +186,7 @@ def held_share(document: str, item: str, names: Names, own: Sequence[int] = ())
     code = {w: k for k, w in enumerate(dict.fromkeys(plain))}
     near = {"".join(sorted(w)): k for w, k in code.items() if len(w) > 4}  # swapped letters
     text = [w.casefold() for w in tokens(document)]
+    text = [renamed.get(w, w) for w in text] if renamed else text
     whole = np.array([code.get(w, near.get("".join(sorted(w)), -1) if len(w) > 4 else -1) for w in text])
     target = np.array([code[w] for w in plain])
     weight = np.array([float(len(w)) for w in plain])
@@ -206,27 +215,83 @@ def held_share(document: str, item: str, names: Names, own: Sequence[int] = ())
 
 
 def _measure(names: Names):
+    """(text, item, own, renamed) batches to (id, item_id, share, renamed_share); the latter is 0 where no value stands for another."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("text", "item", "own"))
-            shares = [held_share(d, i, names, o or ()) for d, i, o in zip(*columns, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("item_id"), pa.array(shares, type=pa.float64())], names=["id", "item_id", "share"])
+            shares, others = [], []
+            for text, item, own, renamed in zip(*(batch.column(c).to_pylist() for c in ("text", "item", "own", "renamed")), strict=True):
+                shares.append(held_share(text, item, names, own or ()))
+                others.append(held_share(text, item, names, own or (), dict(renamed)) if renamed and shares[-1] < LEAST_SHARE else 0.0)
+            columns = [batch.column("id"), batch.column("item_id"), *(pa.array(c, type=pa.float64()) for c in (shares, others))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "item_id", "share", "renamed_share"])
 
     return run
 
 
+def _flagged(flags: str) -> Column:
+    """The window numbers whose bits are set in the ``flags`` of the blocks of a pair."""
+    of_block = lambda b: F.filter(F.sequence(b["block"] * FLAGS, b["block"] * FLAGS + FLAGS - 1), lambda a: F.getbit(b[flags], a % FLAGS) == 1)
+    return F.flatten(F.transform("blocks", of_block))
+
+
+def _covered(at: Column) -> Column:
+    """The share of the item's tokens that the windows ``at`` cover; an item's windows are bounded by its length."""
+    return F.size(F.array_distinct(F.flatten(F.transform(at, lambda a: F.sequence(a, a + WINDOW - 1))))) / F.col("total")
+
+
+def template_matches(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Hash join of template windows: one row per document and item with a common template.
+
+    id, item_id, total, blocks (flags of the item's windows that the document has with
+    the same values, and of those without a slot) and matched, the number of the item's windows that
+    the document has with any values.
+    """
+    block, bit = F.floor(F.col("at") / FLAGS).cast("int"), F.expr(f"shiftleft(1L, at % {FLAGS})")
+    same = F.col("slots") == F.col("item_slots")
+    flag = lambda where: F.bit_or(F.when(where, bit).otherwise(F.lit(0).cast("bigint")))
+    rows = ours.select("id", "key", "slots").join(small_side(theirs), "key").withColumn("block", block)
+    per_block = rows.groupBy("id", "item_id", "total", "block").agg(
+        flag(same).alias("same"), flag(same & (F.size("item_slots") == 0)).alias("plain"), flag(F.lit(True)).alias("any")
+    )
+    blocks = F.collect_list(F.when(F.col("same") != 0, F.struct("block", "same", "plain"))).alias("blocks")
+    return per_block.groupBy("id", "item_id", "total").agg(blocks, F.sum(F.bit_count("any")).alias("matched"))
+
+
+def consistent_windows(ours: DataFrame, theirs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Slot consistency of ``pairs`` (id, item_id): consistent, the item's windows that agree with one mapping of values, and renamed.
+
+    The mapping is one to one: each value of the item takes itself if the document has it
+    in such a place, else the value it meets most often, and likewise the other way
+    round. ``renamed`` maps values of the document to others that they stand for.
+    """
+    met = ours.select("id", "key", "slots").join(small_side(theirs), "key").join(small_side(pairs.select("id", "item_id")), ["id", "item_id"], "left_semi")
+    met = cut(met.groupBy("id", "item_id", "at", "item_slots", "slots").agg(F.count("*").alias("n")))
+    zipped = F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"))
+    votes = met.select("id", "item_id", "n", F.explode(zipped).alias("v")).groupBy("id", "item_id", F.col("v.theirs").alias("theirs"), F.col("v.ours").alias("ours"))
+    votes = votes.agg(F.struct((F.col("theirs") == F.col("ours")).alias("itself"), F.sum("n").alias("n")).alias("weight"))
+    best = lambda df, key, value: df.groupBy("id", "item_id", key).agg(F.max(F.struct("weight", value)).alias("best")).select("id", "item_id", key, f"best.{value}", "best.weight")
+    mapped = best(best(votes, "theirs", "ours"), "ours", "theirs")
+    mapping = mapped.groupBy("id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("theirs", "ours"))).alias("mapping"))
+    agrees = F.forall(zipped, lambda v: F.coalesce(F.try_element_at("mapping", v["theirs"]) == v["ours"], F.lit(False)))
+    kept = met.join(mapping, ["id", "item_id"], "left").where(agrees)
+    other = F.map_filter(F.first("mapping"), lambda theirs, ours: theirs != ours)
+    swapped = F.map_from_entries(F.transform(F.map_entries(other), lambda e: F.struct(e["value"], e["key"])))
+    return kept.groupBy("id", "item_id").agg(F.collect_set("at").alias("consistent"), swapped.alias("renamed"))
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """(doc_id, item_id, share) of every document that holds at least half of an item.
+    """(doc_id, item_id, share) of every document that holds at least half of an item, or most of it under other values.
 
     ``documents`` has doc_id and text, ``items`` item_id and text; other columns are
     ignored. Null, empty and blank texts hold nothing and cannot be held; repeated rows
-    count once. The items' capitalised words go to every task, so there may be at most
-    ``max_items`` items (checked); the join itself broadcasts their windows only if
-    they are counted to be few.
+    count once, and of rows of an id that differ the smallest text counts. The items' capitalised
+    words go to every task, so there may be at most ``max_items`` items (checked); the
+    join itself broadcasts their windows only if they are counted to be few.
     """
     spark = documents.sparkSession
     arrow_batches(spark)
-    items = items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint").alias("id"), "text").dropDuplicates(["id"])
+    items = items.where("item_id IS NOT NULL AND text IS NOT NULL").groupBy(F.col("item_id").cast("bigint").alias("id")).agg(F.min("text").alias("text"))
     texts = [r[0] for r in items.select("text").limit(max_items + 1).collect()]
     if len(texts) > max_items:
         raise ValueError(f"more than {max_items} evaluation items")
@@ -238,23 +303,24 @@ def leaked_items(documents: DataFrame, items: DataFrame, max_items: int = 100_00
     stock = theirs.groupBy(phrase.alias("phrase")).agg(F.count_distinct("item_id").alias("n")).where(F.col("n") >= STOCK_ITEMS)
     theirs = cut(theirs.withColumn("phrase", phrase).join(stock, "phrase", "left_anti").drop("phrase"))
     docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    ours = docs.mapInArrow(_windows(names), schema).select("id", "key", "slots")
-    agree = F.col("slots") == F.col("item_slots")
-    covered = F.size(F.array_distinct(F.flatten(F.transform(F.col("all_at"), lambda a: F.sequence(a, a + WINDOW - 1)))))
-    slotted = F.size("item_slots") > 0
-    held = cut(
-        ours.join(small_side(theirs), "key")
-        .where(agree)
-        .groupBy("id", "item_id")
-        .agg(F.collect_set("at").alias("all_at"), F.collect_set(F.when(~slotted, F.col("at"))).alias("plain_at"), F.max("total").alias("total"))
-        .withColumn("covered", covered / F.col("total"))  # an item's windows are bounded by its length
-    )
-    plain = held.select("item_id", "covered", F.explode("plain_at").alias("at")).groupBy("item_id", "at")
+    many = F.col("matched") >= RENAMED_WINDOWS * F.greatest(F.col("total") - WINDOW + 1, F.lit(1))
+    matches = template_matches(docs.mapInArrow(_windows(names), schema), theirs).where((F.size("blocks") > 0) | many)
+    matches = cut(matches.select("id", "item_id", "total", _flagged("same").alias("same_at"), _flagged("plain").alias("plain_at"), many.alias("many")))
+    plain = matches.select("item_id", _covered(F.col("same_at")).alias("covered"), F.explode("plain_at").alias("at")).groupBy("item_id", "at")
     own = plain.agg(F.avg((F.col("covered") >= OWN_SHARE).cast("double")).alias("with_more")).where(F.col("with_more") >= 0.5)
     own = cut(own.groupBy("item_id").agg(F.collect_list("at").alias("own")))
-    held = held.join(small_side(own), "item_id", "left").withColumn("own", F.coalesce("own", F.array().cast("array<int>")))
-    telling = held.withColumn("all_at", F.array_except("all_at", F.array_except("plain_at", "own")))
-    candidates = telling.where(covered / F.col("total") >= CANDIDATE_SHARE).select("id", "item_id", "own")
-    pairs = cut(candidates).join(docs.dropDuplicates(["id"]), "id").join(small_side(items.select(F.col("id").alias("item_id"), F.col("text").alias("item"))), "item_id")
-    measured = pairs.repartition("id", "item_id").mapInArrow(_measure(names), "id bigint, item_id bigint, share double")
-    return measured.where(F.col("share") >= LEAST_SHARE).select(F.col("id").alias("doc_id"), "item_id", "share")
+    none = F.array().cast("array<int>")
+    matches = matches.join(small_side(own), "item_id", "left").withColumn("own", F.coalesce("own", none))
+    telling = lambda at: F.array_except(at, F.array_except("plain_at", "own"))
+    pairs = cut(matches.where((_covered(telling(F.col("same_at"))) >= CANDIDATE_SHARE) | F.col("many")))
+    held = docs.join(small_side(pairs.select("id").distinct()), "id", "left_semi")
+    held = cut(held.groupBy("id").agg(F.min("text").alias("text")))
+    slots = consistent_windows(held.mapInArrow(_windows(names), schema), theirs, pairs)
+    pairs = pairs.join(slots, ["id", "item_id"])
+    most = F.size("consistent") >= RENAMED_WINDOWS * F.greatest(F.col("total") - WINDOW + 1, F.lit(1))
+    pairs = cut(pairs.where((_covered(telling(F.col("consistent"))) >= CANDIDATE_SHARE) | most).select("id", "item_id", "own", F.when(most, F.col("renamed")).alias("renamed")))
+    found = pairs.join(held, "id").join(small_side(items.select(F.col("id").alias("item_id"), F.col("text").alias("item"))), "item_id")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-pairs.count() // ALIGNED))
+    measured = found.repartition(tasks, "id", "item_id").mapInArrow(_measure(names), "id bigint, item_id bigint, share double, renamed_share double")
+    measured = measured.where((F.col("share") >= LEAST_SHARE) | (F.col("renamed_share") >= RENAMED_SHARE))
+    return measured.select(F.col("id").alias("doc_id"), "item_id", F.greatest("share", "renamed_share").alias("share"))
