@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime
 import math
 
 import numpy as np
@@ -211,3 +212,19 @@ def test_rates_within_tolerance_stay(spark):
     rows = spark.createDataFrame([("r", 0, 256.05, [1.0, 2.0]), ("r", 1, 256.2, [1.0] * 1000), ("r", 2, 512.0, [1.0] * 100), ("r", 3, None, [1.0]), ("r", 4, 500.0, None)], "rec string, ch int, rate double, samples array<double>")
     got = {r["ch"]: (r["rate"], None if r["samples"] is None else len(r["samples"])) for r in resample.resample_channels(rows).collect()}
     assert got == {0: (256.05, 2), 1: (256.0, 999), 2: (256.0, 50), 3: (None, 1), 4: (500.0, None)}
+
+
+def test_running_sums_and_splits_do_not_depend_on_the_parts(spark, monkeypatch):
+    rows = [(("a", "b", None)[(k * 7) % 3], f"p{k}", k % 5, None if k % 11 == 0 else datetime.datetime(2024, 1, 1 + (k * k) % 20), "clash") for k in range(400)]
+    table = spark.createDataFrame(rows, "d string, path string, size int, t timestamp, n string")
+    split = lambda: sorted(manifest.stratified_split(table, ["d"], ratios=(0.7, 0.2, 0.1)).select("path", "split").collect())
+    progress = lambda: sorted(reports.running_progress(table, ["d"], ["t", "path"], "size").select("path", "done", "bytes_so_far").collect())
+    whole = split(), progress()
+    monkeypatch.setattr("wavequarry.operators.ranking.RANKED_ROWS", 13)
+    assert (split(), progress()) == whole
+    want = []
+    for d in ("a", "b", None):
+        mine = sorted((r for r in rows if r[0] == d), key=lambda r: (r[3] is not None, r[3] or 0, r[1]))
+        want += [(r[1], i + 1, sum(x[2] for x in mine[: i + 1])) for i, r in enumerate(mine)]
+    assert [tuple(r) for r in whole[1]] == sorted(want)
+    assert manifest.stratified_split(table.limit(0), ["d"]).count() == 0

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wavequarry.functions.bids import component_after, parent_dir
+from wavequarry.operators.ranking import hex_part, running
+from wavequarry.session import cut, small_side
 
 #: Default shares of train, validation and test.
 RATIOS = (0.97, 0.03, 0.0)
@@ -52,18 +54,25 @@ def stratified_split(rows: DataFrame, strata: list[str], path: str = "path", rat
     """``rows`` with a ``split``: in every stratum, in hash order, whole parts of train, validation and test.
 
     With a test ratio of zero the rows that rounding down leaves over are dropped, or
-    go to train with ``remainder='train'``; otherwise they are the test split.
+    go to train with ``remainder='train'``; otherwise they are the test split. Strata of any
+    size are ranked in parts of the hash order.
     """
     train, val, test = ratios
     if min(ratios) < 0 or sum(ratios) > 1 + 1e-9 or remainder not in ("drop", "train"):
         raise ValueError("ratios must not be negative or exceed one; remainder is 'drop' or 'train'")
-    stratum = Window.partitionBy(*strata)
-    placed = rows.withColumn("n", F.count("*").over(stratum)).withColumn("k", F.row_number().over(stratum.orderBy(shuffle_key(F.col(path), seed), path)))
-    n_train = F.floor(F.col("n") * F.lit(float(train)))
-    n_val = F.floor(F.col("n") * F.lit(float(val)))
+    rows = cut(rows)  # counted, summed by part and ranked
+    sizes = rows.groupBy(*strata).agg(F.count("*").alias("_n")).select(*(F.col(c).alias(f"_{c}") for c in strata), "_n")
+    same = F.lit(True)
+    for c in strata:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    key = shuffle_key(F.col(path), seed)
+    ranked = running(rows, strata, hex_part(key, rows.count()), [key, path], {"_k": F.lit(1)})
+    placed = ranked.join(small_side(cut(sizes)), same).drop(*(f"_{c}" for c in strata))
+    n_train = F.floor(F.col("_n") * F.lit(float(train)))
+    n_val = F.floor(F.col("_n") * F.lit(float(val)))
     rest = F.lit("test") if test > 0 else F.lit("train") if remainder == "train" else F.lit(None).cast("string")
-    split = F.when(F.col("k") <= n_train, "train").when(F.col("k") <= n_train + n_val, "val").otherwise(rest)
-    return placed.withColumn("split", split).where("split IS NOT NULL").drop("n", "k")
+    split = F.when(F.col("_k") <= n_train, "train").when(F.col("_k") <= n_train + n_val, "val").otherwise(rest)
+    return placed.withColumn("split", split).where("split IS NOT NULL").drop("_n", "_k")
 
 
 def dataset_stats(manifest: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Dense ranks within classes of any size."""
+"""Dense ranks and running sums within classes of any size."""
 
 from __future__ import annotations
 
@@ -36,6 +36,33 @@ def part_bounds(part: Column, total: int) -> tuple[Column, Column]:
     return F.greatest(at(part) - 4096, F.lit(0)), high
 
 
+def hex_part(hexadecimal: Column, total: int) -> Column:
+    """The part of the order of hexadecimal hashes that a row belongs to, as many parts as ``total`` rows need."""
+    parts = hash_parts(total)
+    return F.least(F.floor(F.conv(F.substring(hexadecimal, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * parts), F.lit(parts - 1)).cast("int")
+
+
+def running(rows: DataFrame, klass: list[str], part: Column, order: list[Column | str], sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with running sums within their class, the row itself included.
+
+    ``part`` must not fall along ``order`` within a class: a class is summed in as many
+    pieces as it has parts, and a part starts from the sums of those before it, so no task
+    holds a whole hot class. Classes may be null.
+    """
+    keyed = rows.withColumn("_part", part).withColumns({f"_{name}": value for name, value in sums.items()})
+    parts = cut(keyed.groupBy(*klass, "_part").agg(*(F.sum(f"_{name}").alias(f"_{name}") for name in sums)))
+    before = Window.partitionBy(*klass).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    named = [F.col(k).alias(f"_{k}_") for k in klass]
+    offsets = parts.select(*named, F.col("_part").alias("_part_"), *(F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_") for n in sums))
+    within = Window.partitionBy(*klass, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = keyed.withColumns({name: F.sum(f"_{name}").over(within) for name in sums})
+    same = F.col("_part").eqNullSafe(F.col("_part_"))
+    for k in klass:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}_"))
+    found = summed.join(small_side(offsets), same)
+    return found.select(*(c for c in rows.columns if c not in sums), *((F.col(name) + F.col(f"_{name}_")).alias(name) for name in sums))
+
+
 def rank_in_class(rows: DataFrame, klass: str, key: str, total: int) -> tuple[DataFrame, list[tuple]]:
     """``rows`` with ``h``, ``part`` and the ``rank`` from 0 in hash order within their class, and the (class, count) list.
 

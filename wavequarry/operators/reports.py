@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wavequarry.functions.numeric import ratio
+from wavequarry.operators.ranking import hash_parts, running
+from wavequarry.session import cut
 
 #: Warning limits of a segment's mean, spread and coordinates.
 MEAN_LIMIT, STD_LIMIT, POSITION_LIMIT = 0.1, 0.5, 2.0
@@ -118,6 +119,14 @@ def batch_tally(runs: DataFrame, batch: str, ok: str) -> DataFrame:
 
 
 def running_progress(rows: DataFrame, part: list[str], order: list[str], size: str) -> DataFrame:
-    """Running count and sum within each part, in order; a null size counts as 0."""
-    so_far = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("done", F.count("*").over(so_far)).withColumn("bytes_so_far", F.sum(F.coalesce(size, F.lit(0))).over(so_far))
+    """Running count and sum within each part, in order; a null size counts as 0.
+
+    ``order`` starts with a timestamp, whose range is cut into equal spans, so a part of any
+    size is summed in many tasks; only rows of one span meet in one.
+    """
+    rows = cut(rows)
+    at = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    first, last, n = rows.agg(F.coalesce(F.min(at), F.lit(0)), F.coalesce(F.max(at), F.lit(0)), F.count("*")).first()
+    width = max(1.0, (last - first + 1) / hash_parts(n))
+    span = F.coalesce(F.floor((at - F.lit(first)) / width), F.lit(-1)).cast("int")  # null times come first
+    return running(rows, part, span, order, {"done": F.lit(1), "bytes_so_far": F.coalesce(size, F.lit(0))})
