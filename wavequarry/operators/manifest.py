@@ -36,6 +36,20 @@ def manifest_fields(segments: DataFrame, root: str = "curated") -> DataFrame:
     ).distinct()
 
 
+def manifest_failures(segments: DataFrame, root: str = "curated") -> DataFrame:
+    """Per dataset: segment rows, those that :func:`manifest_fields` takes and those it drops as not readable."""
+    readable = F.col("x").isNotNull() & F.col("sensor_type").isNotNull()
+    rows = segments.where("path IS NOT NULL").select(component_after(F.col("path"), root).alias("dataset"), readable.alias("ok"))
+    return rows.groupBy("dataset").agg(F.count("*").alias("total"), F.count_if("ok").alias("readable"), F.count_if(~F.col("ok")).alias("failed"))
+
+
+def shuffled(rows: DataFrame, path: str = "path", seed: int = SEED) -> DataFrame:
+    """``rows`` with their ``place`` from 1 in shuffled order, ranked in parts of it."""
+    rows = cut(rows)
+    key = shuffle_key(F.col(path), seed)
+    return running(rows, [], hex_part(key, rows.count()), [key, path], {"place": F.lit(1)})
+
+
 def sampled_manifest(segments: DataFrame, seed: int = SEED, root: str = "curated") -> DataFrame:
     """The manifest from one random segment per folder: its fields hold for all of the folder.
 

@@ -11,6 +11,8 @@ from wavequarry.session import cut
 
 #: Warning limits of a segment's mean, spread and coordinates.
 MEAN_LIMIT, STD_LIMIT, POSITION_LIMIT = 0.1, 0.5, 2.0
+#: Beyond this absolute value a segment's sums say nothing, and depend on the order of its values.
+VALUE_LIMIT = 1e6
 
 
 def run_report(results: DataFrame) -> DataFrame:
@@ -68,14 +70,16 @@ def validation_records(segments: DataFrame) -> DataFrame:
 
     Errors: a missing part, positions that are not channels by six, sensor types that
     are not one per channel, NaN in signal or positions. Warnings: mean, spread or
-    coordinates beyond the limits. Statistics are over all values; the spread is that
-    of a sample.
+    coordinates beyond the limits, or a value beyond ``VALUE_LIMIT`` (finite or not), in which case mean
+    and spread are null. Statistics are over all values; the spread is that of a sample.
     """
     c = F.size("x")
     v = F.transform(_values("x"), lambda a: a.cast("double"))
     n = F.size(v)
     mean = F.aggregate(v, F.lit(0.0), lambda s, a: s + a) / n
-    with_mean = segments.withColumn("n_channels", c).withColumn("n_values", n).withColumn("x_mean", F.when(n > 0, mean))
+    wild = F.coalesce(F.exists(v, lambda a: ~F.isnan(a) & (F.abs(a) > VALUE_LIMIT)), F.lit(False))
+    counted = segments.withColumn("n_channels", c).withColumn("n_values", n).withColumn("wild_value", wild)
+    with_mean = counted.withColumn("x_mean", F.when((n > 0) & ~F.col("wild_value"), mean))
     m = F.col("x_mean")
     spread = F.when(n > 1, F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, a: s + (a - m) * (a - m)) / (n - 1)))
     xyz = F.flatten(F.transform("pos", lambda p: F.slice(p, 1, 3)))
@@ -93,12 +97,13 @@ def validation_records(segments: DataFrame) -> DataFrame:
         F.array(
             F.when(~F.isnan("x_mean") & (F.abs("x_mean") > MEAN_LIMIT), F.lit("mean")),  # NaN is above every number in Spark
             F.when(~F.isnan("x_std") & (F.abs(F.col("x_std") - 1) > STD_LIMIT), F.lit("std")),
+            F.when(F.col("wild_value"), F.lit("value range")),
             F.when((F.col("pos_min") < -POSITION_LIMIT) | (F.col("pos_max") > POSITION_LIMIT), F.lit("position range")),
         )
     )
     none = F.expr("cast(array() as array<string>)")
     return stats.select(
-        *(k for k in segments.columns if k not in ("x", "pos", "sensor_type")),
+        *(k for k in segments.columns if k not in ("x", "pos", "sensor_type", "wild_value")),
         F.when(missing, F.array(F.lit("missing part"))).otherwise(errors).alias("errors"),
         F.when(missing, none).otherwise(warnings).alias("warnings"),
         "n_channels", "n_values", "x_mean", "x_std", "pos_min", "pos_max",

@@ -390,6 +390,23 @@ def shuffled_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head.withColumn("place", F.row_number().over(windowing.Window.partitionBy(F.lit(1)).orderBy(key, "path")).cast("bigint"))
 
 
+@query(
+    f"""WITH {_MANIFEST} SELECT path, row_number() OVER (ORDER BY md5('42:' || path), path) AS place FROM (SELECT DISTINCT path FROM m)"""
+)
+def shuffled_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every path of the manifest in shuffled order."""
+    return manifest.shuffled(_manifest(spark, sf_dir).select("path").distinct()).select("path", "place")
+
+
+@query(
+    """SELECT CASE WHEN list_position(string_split(path, '/'), 'curated') > 0 THEN coalesce(string_split(path, '/')[list_position(string_split(path, '/'), 'curated') + 1], 'unknown') ELSE 'unknown' END AS dataset,
+  count(*) AS total, count(*) FILTER (x IS NOT NULL AND sensor_type IS NOT NULL) AS readable, count(*) FILTER (x IS NULL OR sensor_type IS NULL) AS failed FROM segments WHERE path IS NOT NULL GROUP BY 1"""
+)
+def manifest_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment rows that the manifest takes and those it drops because they cannot be read, by dataset."""
+    return manifest.manifest_failures(load(spark, sf_dir, "segments").select("path", "x", "sensor_type"))
+
+
 # --- runs and validation ---------------------------------------------------
 
 
@@ -422,11 +439,18 @@ def resume_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.resume_state(load(spark, sf_dir, "recordings").select("path").distinct(), done, "path")
 
 
-@query("SELECT DISTINCT path FROM recordings WHERE path NOT IN (SELECT file FROM results WHERE success AND file IS NOT NULL)")
+@query(
+    """WITH h AS (SELECT (min(epoch_us(finished_at)) + max(epoch_us(finished_at))) // 2 AS half FROM results)
+SELECT path FROM (SELECT path FROM recordings UNION SELECT file FROM results) WHERE path IS NOT NULL
+  AND path NOT IN (SELECT file FROM results, h WHERE success AND file IS NOT NULL AND epoch_us(finished_at) <= half)"""
+)
 def resume_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recordings that no earlier run finished."""
-    done = load(spark, sf_dir, "results").where("success").select(F.col("file").alias("path"))
-    return reports.work_list(load(spark, sf_dir, "recordings").select("path").distinct(), done, "path")
+    """Files, listed as recordings or known from results, that no run had finished halfway through the time of the results."""
+    results = load(spark, sf_dir, "results").select(F.col("file").alias("path"), "success", F.unix_micros("finished_at").alias("at"))
+    half = results.agg(F.floor((F.min("at") + F.max("at")) / 2)).first()[0]
+    results = results.withColumn("success", F.col("success") & (F.col("at") <= F.lit(half)))
+    known = load(spark, sf_dir, "recordings").select("path").unionByName(results.select("path"))
+    return reports.work_list(known.where("path IS NOT NULL").distinct(), results.where("success").select("path"), "path")
 
 
 @query(
@@ -447,7 +471,7 @@ _VALID = """d AS (SELECT row_number() OVER () AS k, * FROM (SELECT DISTINCT path
   r AS (SELECT path, x IS NULL OR pos IS NULL OR sensor_type IS NULL AS missing, coalesce(len(pos) <> len(x), false) OR coalesce(len(list_filter(pos, lambda q: len(q) <> 6)) > 0, false) AS bad_pos,
     coalesce(len(sensor_type) <> len(x), false) AS bad_type, coalesce(nan_x, false) AS nan_x, CAST(len(x) AS INTEGER) AS n_channels, n_values, m, s, wild, hi, lo FROM d LEFT JOIN a USING (k) LEFT JOIN p USING (k)),
   e AS (SELECT path, missing, n_channels, m, s, wild, CASE WHEN missing THEN 'missing part' ELSE concat_ws(',', CASE WHEN bad_pos THEN 'pos shape' END, CASE WHEN bad_type THEN 'sensor_type shape' END, CASE WHEN nan_x THEN 'NaN in x' END) END AS errors,
-    CASE WHEN missing THEN '' ELSE concat_ws(',', CASE WHEN abs(m) > 0.1 THEN 'mean' END, CASE WHEN abs(s - 1) > 0.5 THEN 'std' END, CASE WHEN lo < -2 OR hi > 2 THEN 'position range' END) END AS warnings FROM r)"""
+    CASE WHEN missing THEN '' ELSE concat_ws(',', CASE WHEN abs(m) > 0.1 THEN 'mean' END, CASE WHEN abs(s - 1) > 0.5 THEN 'std' END, CASE WHEN wild THEN 'value range' END, CASE WHEN lo < -2 OR hi > 2 THEN 'position range' END) END AS warnings FROM r)"""
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,21 +480,19 @@ def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_VALID}
-SELECT path, errors = '' AS valid, errors, n_channels, round(m, 5) + 0.0 AS x_mean, round(s, 5) + 0.0 AS x_std, warnings FROM e WHERE NOT coalesce(wild, false)"""
+SELECT path, errors = '' AS valid, errors, n_channels, round(m, 5) + 0.0 AS x_mean, round(s, 5) + 0.0 AS x_std, warnings FROM e"""
 )
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors, warnings and statistics of every segment whose values lie within a million (beyond it sums depend on their order)."""
-    rows = load(spark, sf_dir, "segments").select("path", "x", "pos", "sensor_type").distinct()
-    wild = F.coalesce(F.exists(F.flatten("x"), lambda v: ~F.isnan(v) & (F.abs(v) > 1e6)), F.lit(False))
-    r = reports.validation_records(rows.where(~wild))
+    """Errors, warnings and statistics of every segment."""
+    r = _validated(spark, sf_dir)
     number = lambda c: rounded(F.when(~F.isnan(c), F.col(c)), 5).alias(c)
     return r.select("path", "valid", F.array_join("errors", ",").alias("errors"), "n_channels", number("x_mean"), number("x_std"), F.array_join("warnings", ",").alias("warnings"))
 
 
-@query(f"WITH {_VALID} SELECT count(*) AS total, count(*) FILTER (errors = '') AS valid, count(*) FILTER (errors <> '') AS invalid FROM e")
+@query(f"WITH {_VALID} SELECT count(*) AS total, count(*) FILTER (errors = '') AS valid, count(*) FILTER (warnings <> '') AS warned, count(*) FILTER (errors <> '') AS invalid FROM e")
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many segments are valid."""
-    return reports.validation_summary(_validated(spark, sf_dir)).select("total", "valid", "invalid")
+    """How many segments are valid, and how many are warned about."""
+    return reports.validation_summary(_validated(spark, sf_dir))
 
 
 # --- paths -----------------------------------------------------------------
@@ -525,4 +547,5 @@ def landing_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = ingest.segment_stream(spark, f"{sf_dir}/segments.parquet*", load(spark, sf_dir, "segments").schema)
     target = scratch_path(spark, "landings")
     ingest.ingest_batches(ingest.landing_counts(stream.select("source", "landed_at", "written_at")), target, scratch_path(spark, "landings-checkpoint"))
-    return spark.read.parquet(target).groupBy("source").agg(F.sum("rows").alias("rows"), F.sum("late").alias("late"))
+    counts = ingest.latest(spark, target, ["source", "day"])
+    return counts.groupBy("source").agg(F.sum("rows").alias("rows"), F.sum("late").alias("late"))
