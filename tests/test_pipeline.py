@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wavequarry import cli, pipeline
-from wavequarry.sources import brainvision
+from wavequarry.sources import brainvision, sinks
 
 HEADER = """Brain Vision Data Exchange Header File Version 1.0
 ; a comment
@@ -108,3 +108,49 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         stream = ingest.segment_stream(spark, source, rows.schema if expected else schema)
         ingest.ingest(ingest.first_landings(stream), target, checkpoint)
         assert spark.read.parquet(target).count() == expected
+
+
+def test_a_read_error_is_not_taken_for_a_first_run(spark, tree, tmp_path):
+    out = tmp_path / "out"
+    pipeline.segment_dataset(spark, str(tree), str(out), 1, 1)
+    before = spark.read.parquet(f"{out}/segments").count()
+    for file in (out / "segments").rglob("*.parquet"):
+        file.write_bytes(b"broken")
+    for crc in (out / "segments").rglob("*.crc"):
+        crc.unlink()
+    files = sorted((out / "segments").rglob("*.parquet"))
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        pipeline.segment_dataset(spark, str(tree), str(out), 1, 1).collect()
+    assert before == 6 and sorted((out / "segments").rglob("*.parquet")) == files  # nothing was appended
+
+
+def test_manifests_as_arrays(spark, tmp_path):
+    split = spark.createDataFrame([(f"p{k}", "a", ("train", "val")[k % 3 == 0]) for k in range(10)], "path string, dataset string, split string")
+    sinks.write_arrays(split.orderBy("path"), str(tmp_path / "m"))
+    train, val = (json.loads((tmp_path / "m" / f"{s}.json").read_text()) for s in ("train", "val"))
+    assert [r["path"] for r in val] == ["p0", "p3", "p6", "p9"] and len(train) == 6
+    assert train[0] == {"path": "p1", "dataset": "a"}
+
+
+def test_batches_replace_their_own_rows_only(spark, tmp_path):
+    from wavequarry.streaming import ingest
+
+    source, target, checkpoint = (str(tmp_path / k) for k in ("in", "out", "check"))
+    for day in (1, 1, 2):
+        row = spark.createDataFrame([("/data/curated/A/1", f"2024-01-0{day} 10:00:00")], "path string, t string")
+        row = row.select("path", F.col("t").cast("timestamp").alias("landed_at"), F.col("t").cast("timestamp").alias("written_at"))
+        row.write.mode("append").parquet(source)
+        ingest.ingest_batches(ingest.landing_counts(ingest.segment_stream(spark, source, row.schema)), target, checkpoint)
+    counts = {r["day"].day: r["rows"] for r in ingest.latest(spark, target, ["source", "day"]).collect()}
+    assert counts == {1: 2, 2: 1}
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from wavequarry.session import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(cluster)

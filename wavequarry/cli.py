@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(f"--{ratio}_ratio", type=float, default=value)
         p.add_argument("--seed", type=int, default=manifest.SEED)
         p.add_argument("--root", default="curated")
+        p.add_argument("--array", action="store_true", help="one JSON array for each split instead of JSON lines")
     p = programs.add_parser("convert", help="write segments in bfloat16 precision to a new place")
     p.add_argument("source")
     p.add_argument("target")
@@ -56,7 +57,8 @@ def main(arguments: list[str] | None = None) -> int:
         return int(report.first()["failed"] > 0)
     if a.program.startswith("manifest"):
         ratios = (a.train_ratio, a.val_ratio, a.test_ratio)
-        split = pipeline.build_manifests(spark.read.parquet(a.segments), a.target, ratios, a.seed, a.program == "manifest-fast", a.root)
+        split = pipeline.build_manifests(spark.read.parquet(a.segments), a.target, ratios, a.seed, a.program == "manifest-fast", a.root, a.array)
+        manifest.manifest_failures(spark.read.parquet(a.segments), a.root).show(truncate=False)
         manifest.split_sizes(split).show()
         manifest.dataset_stats(split).show(truncate=False)
         return 0
@@ -66,7 +68,8 @@ def main(arguments: list[str] | None = None) -> int:
         return 0
     records = pipeline.validate(spark.read.parquet(a.segments), a.limit)
     if a.verbose:
-        records.show(1000, truncate=False)
+        for r in records.toLocalIterator():
+            print(r.asDict())
     summary = reports.validation_summary(records)
     summary.show()
     return int(summary.first()["invalid"] > 0)

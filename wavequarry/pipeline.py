@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wavequarry.functions.bids import component_after
 from wavequarry.operators import coords, manifest, precision, reports, resample, windowing
-from wavequarry.session import cut
+from wavequarry.session import cut, exists
 from wavequarry.sources import brainvision, electrodes, files, sinks
 
 
@@ -37,10 +37,8 @@ def segment_dataset(
     root = f"{input_dir}/{dataset}" if dataset else input_dir
     found = cut(files.discover_recordings(spark, root, limit=limit))
     target = f"{output_dir}/segments"
-    try:
-        done = spark.read.parquet(target).select("rec")
-    except Exception:  # noqa: BLE001 - the first run has no output yet
-        done = spark.createDataFrame([], "rec string")
+    # only the first run has no output yet; an output that cannot be read is an error
+    done = spark.read.parquet(target).select("rec") if exists(spark, target) else spark.createDataFrame([], "rec string")
     state = cut(reports.resume_state(found, done, "rec"))
     decoded = cut(brainvision.read_recordings(spark, root, state.where("NOT skipped").select("rec", "path")))
     places = electrodes.electrodes_of(state.select("rec", "stem", "dir"), electrodes.read_electrodes(spark, root))
@@ -77,11 +75,12 @@ def segment_dataset(
     return results
 
 
-def build_manifests(segments: DataFrame, target: str, ratios: tuple[float, float, float] = manifest.RATIOS, seed: int = manifest.SEED, sampled: bool = False, root: str = "curated") -> DataFrame:
-    """Split and write the manifest of a segment table; return it with its splits."""
+def build_manifests(segments: DataFrame, target: str, ratios: tuple[float, float, float] = manifest.RATIOS, seed: int = manifest.SEED, sampled: bool = False, root: str = "curated", arrays: bool = False) -> DataFrame:
+    """Split and write the manifest of a segment table, as JSON lines or one JSON array for each split; return it with its splits."""
     fields = manifest.sampled_manifest(segments, seed, root) if sampled else manifest.manifest_fields(segments, root)
     split = manifest.stratified_split(fields, ["dataset", "channels"], ratios=ratios, seed=seed)
-    sinks.write_manifest(split.orderBy(manifest.shuffle_key(F.col("path"), seed), "path"), target)
+    ordered = split.orderBy(manifest.shuffle_key(F.col("path"), seed), "path")
+    (sinks.write_arrays if arrays else sinks.write_manifest)(ordered, target)
     return split
 
 

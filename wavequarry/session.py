@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,15 @@ BROADCAST_ROWS = 100_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests, a laptop) a temporary folder is made and
-    set as the checkpoint folder of the session.
+    Where the setting is absent and Spark runs within one machine (tests, a laptop) a
+    temporary folder is made and set as the checkpoint folder of the session; a
+    cluster must name one.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        context_dir = spark.sparkContext.getCheckpointDir()
-        configured = context_dir or "file://" + tempfile.mkdtemp(prefix="spark-wavequarry-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = "file://" + tempfile.mkdtemp(prefix="spark-wavequarry-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
@@ -36,6 +39,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/wavequarry/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path and the path as its object."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
+
+
+def write_text(spark: SparkSession, path: str, chunks: Iterable[str]) -> None:
+    """A text file on whatever file system the path names, written piece by piece."""
+    fs, at = file_system(spark, path)
+    out = fs.create(at, True)
+    try:
+        for chunk in chunks:
+            out.write(bytearray(chunk.encode()))
+    finally:
+        out.close()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder and read it back."""
     shared_folder(df.sparkSession)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavequarry.session import write_text
+
 #: Rows that a JSON array file may have; larger manifests are written as JSON lines by Spark.
 ARRAY_ROWS = 1_000_000
 
@@ -24,11 +26,22 @@ def write_manifest(split: DataFrame, target: str, mode: str = "overwrite") -> No
 
 def write_array(rows: DataFrame, file: str) -> None:
     """At most ``ARRAY_ROWS`` rows as one JSON array, for tools that expect one."""
-    taken = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).limit(ARRAY_ROWS + 1).collect()
-    if len(taken) > ARRAY_ROWS:
+    if rows.limit(ARRAY_ROWS + 1).count() > ARRAY_ROWS:
         raise ValueError(f"more than {ARRAY_ROWS} rows; use write_manifest")
-    Path(file).parent.mkdir(parents=True, exist_ok=True)
-    Path(file).write_text("[\n" + ",\n".join(r[0] for r in taken) + "\n]\n", encoding="utf-8")
+
+    def lines() -> Iterator[str]:
+        yield "["
+        for k, r in enumerate(rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator()):
+            yield (",\n" if k else "\n") + r[0]
+        yield "\n]\n"
+
+    write_text(rows.sparkSession, file, lines())
+
+
+def write_arrays(split: DataFrame, target: str) -> None:
+    """Each split of the manifest as one JSON array, ``<split>.json``, in the order of ``split``."""
+    for (name,) in split.select("split").distinct().collect():  # train, val and test
+        write_array(split.where(F.col("split") == name).drop("split"), f"{target}/{name}.json")
 
 
 def write_report(report: DataFrame, files: DataFrame, parameters: dict, target: str) -> None:
@@ -36,5 +49,4 @@ def write_report(report: DataFrame, files: DataFrame, parameters: dict, target:
     files.write.mode("overwrite").json(f"{target}/files")
     stamp = report.select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).first()[0]
     summary = report.first().asDict() | {"finished": stamp, "parameters": parameters}
-    Path(target).mkdir(parents=True, exist_ok=True)
-    Path(target, "summary.json").write_text(json.dumps(summary, indent=2, ensure_ascii=False, default=str), encoding="utf-8")
+    write_text(files.sparkSession, f"{target}/summary.json", [json.dumps(summary, indent=2, ensure_ascii=False, default=str)])

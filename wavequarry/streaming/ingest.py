@@ -39,10 +39,21 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> None:
 
 
 def ingest_batches(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Write each batch's complete aggregation result to ``target``, replacing the one before, and stop."""
+    """Write what each batch changed in an aggregation to a folder of its own below ``target``, and stop.
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    A batch that is repeated after a failure replaces only its own folder, and state
+    ends with the watermark. :func:`latest` reads the result.
+    """
 
-    query = stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
+    def replace(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def latest(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """The rows of :func:`ingest_batches` as of the last batch that changed them."""
+    rows = spark.read.parquet(target)
+    values = F.struct(*(c for c in rows.columns if c not in (*keys, "batch")))
+    return rows.groupBy(*keys).agg(F.max_by(values, "batch").alias("v")).select(*keys, "v.*")
