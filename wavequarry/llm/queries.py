@@ -39,7 +39,10 @@ def p4_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every listed record with the split that its whole component goes to."""
     records = splits(spark, sf_dir).select("path").distinct()
     grouped = cut(split_groups.group_records(records, split_groups.record_entities(F.col("path"))))
-    shares = {r["split_name"]: float(r["share"]) for r in load(spark, sf_dir, "split_targets").limit(100).collect()}
+    targets = load(spark, sf_dir, "split_targets").where("split_name IS NOT NULL AND share IS NOT NULL").select("split_name", "share").distinct()
+    if targets.limit(SPLITS + 1).count() > SPLITS:
+        raise ValueError(f"more than {SPLITS} splits")
+    shares = {r["split_name"]: float(r["share"]) for r in targets.collect()}
     return split_groups.assign_splits(grouped, shares).select("path", "component", "new_split")
 
 
@@ -50,6 +53,8 @@ def p4_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("share", F.col("records") / total)
 
 
+#: Most splits; their shares go to the driver.
+SPLITS = 1000
 #: A dataset whose limits come this close to its target, by the share of it, is settled by its exact size.
 VERGE = 0.1
 

@@ -17,10 +17,8 @@ from pyspark.sql import functions as F
 
 from wavequarry.functions.paths import dataset_of, subject_no
 from wavequarry.operators.ranking import rank_in_class
-from wavequarry.session import cut
+from wavequarry.session import cut, small_side
 
-#: Sizes up to this are classes of their own; larger ones share a class within a 64th of an octave.
-EXACT_SIZES = 4096
 #: Positions of the subset-sum bitset; totals are rounded to one part in as many.
 RESOLUTION = 1 << 20
 
@@ -64,8 +62,9 @@ def group_records(records: DataFrame, entities: Column) -> DataFrame:
     themselves is replaced, all others are kept whatever their names.
     """
     rows = records.drop("component")
-    keyed = rows.select(F.struct("*").alias("row"), entities.alias("entities")).where("size(entities) > 0").withColumn("key", F.element_at("entities", 1))
-    edges = keyed.select(F.col("key").alias("a"), F.explode("entities").alias("b")).distinct()
+    keyed = rows.select(F.struct("*").alias("row"), entities.alias("entities")).where("size(entities) > 0")
+    keyed = cut(keyed.withColumn("key", F.element_at("entities", 1)))  # read by the edges and by the join
+    edges = keyed.select(F.col("key").alias("a"), F.explode("entities").alias("b"))
     found = components(edges).select(F.col("node").alias("key"), F.col("root").alias("component"))
     return keyed.join(found, "key").select("row.*", "component")
 
@@ -109,32 +108,31 @@ def assign_splits(grouped: DataFrame, shares: dict[str, float]) -> DataFrame:
     """``grouped`` (with ``component``) with a ``new_split``: whole components, totals as close to the shares as they come.
 
     Shares are taken relative to their sum; splits are filled from the smallest to
-    the largest, which takes the rest. An empty input gives an empty result.
+    the largest, which takes the rest. An empty input gives an empty result. The driver sees
+    the number of components of each size: of n records at most about the root of 2n sizes.
     """
     if not shares or min(shares.values()) < 0 or sum(shares.values()) <= 0:
         raise ValueError("shares must not be negative, and one must be positive")
     spark, grouped = grouped.sparkSession, grouped.drop("new_split")
     sized = grouped.groupBy("component").agg(F.count("*").alias("size"))
-    octave = F.round(F.log2("size") * 64)
-    sized = cut(sized.withColumn("klass", F.when(F.col("size") <= EXACT_SIZES, F.col("size")).otherwise(EXACT_SIZES + octave).cast("int")))
-    mean = {r[0]: float(r[1]) for r in sized.groupBy("klass").agg(F.avg("size")).collect()}  # bounded by EXACT_SIZES and the octaves
+    sized = cut(sized.select("component", F.col("size").alias("klass")))
     ranked, counts = rank_in_class(sized, "klass", "component", sized.count())
     left = dict(counts)
-    total = sum(mean[k] * n for k, n in counts)
+    total = sum(k * n for k, n in counts)
     order = sorted(shares, key=lambda s: (shares[s], s))
     rows, used = [], dict.fromkeys(left, 0)
     for name in order:
         if name == order[-1]:
             chosen = dict(left)
         else:
-            chosen = closest_subset([(k, mean[k], n) for k, n in left.items() if n], total * shares[name] / sum(shares.values()))
+            chosen = closest_subset([(k, float(k), n) for k, n in left.items() if n], total * shares[name] / sum(shares.values()))
         for k, n in chosen.items():
             if n:
                 rows.append((k, used[k], used[k] + n, name))
                 used[k] += n
                 left[k] -= n
-    ranges = spark.createDataFrame(rows, "klass int, first bigint, last bigint, new_split string")
-    placed = ranked.join(F.broadcast(ranges), "klass").where("rank >= first AND rank < last").select("component", "new_split")
+    ranges = spark.createDataFrame(rows, "klass bigint, first bigint, last bigint, new_split string")
+    placed = ranked.join(small_side(ranges), "klass").where("rank >= first AND rank < last").select("component", "new_split")
     return grouped.join(placed, "component")
 
 
