@@ -53,6 +53,7 @@ _SIGNALS = """s AS (SELECT vec_id // 10 AS rec, vec_id AS ch, label % 3 AS type,
   r AS (SELECT *, v - avg(v) OVER (PARTITION BY rec, type, t) AS r FROM s),
   w AS (SELECT r.*, CAST(k AS INTEGER) AS win FROM r JOIN (SELECT unnest(range(0, 7)) AS k) ON t >= k * 8 AND t < k * 8 + 16)"""
 _EPS = "CASE WHEN type = 0 THEN 1e-5 ELSE 1e-13 END"
+_BF16 = "CASE WHEN {v} = 0 OR isinf({v}) OR isnan({v}) THEN {v} ELSE round_even({v} / pow(2.0, greatest(floor(log2(abs({v}))), -126) - 7), 0) * pow(2.0, greatest(floor(log2(abs({v}))), -126) - 7) END"
 
 
 @query(
@@ -143,6 +144,32 @@ def segment_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowing.segment_channels(_channels(spark, sf_dir), WINDOW, STRIDE)
 
 
+@query(
+    f"""WITH {_SIGNALS},
+  z AS (SELECT rec, win, ch, CAST(r / (stddev_pop(r) OVER (PARTITION BY rec, win, type) + {_EPS}) AS FLOAT) :: DOUBLE AS v FROM w),
+  b AS (SELECT rec, win, ch, {_BF16.format(v="v")} AS v FROM z)
+SELECT rec, win AS win_idx, win AS seg_idx, count(DISTINCT ch) AS n_ch, count(*) AS n_values, round(avg(abs(v)), 6) AS x_abs, max(v) AS x_max FROM b GROUP BY rec, win"""
+)
+def segment_recordings_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The array form's segments by their size, mean magnitude and maximum."""
+    s = segment_recordings(spark, sf_dir)
+    v = F.transform(F.flatten("x"), lambda a: a.cast("double"))
+    mean = F.aggregate(v, F.lit(0.0), lambda t, a: t + F.abs(a)) / F.size(v)
+    sizes = [F.size("x").cast("bigint").alias("n_ch"), F.size(v).cast("bigint").alias("n_values")]
+    return s.select("rec", "win_idx", "seg_idx", *sizes, F.round(mean, 6).alias("x_abs"), F.array_max(v).alias("x_max"))
+
+
+@query(
+    """WITH s AS (SELECT vec_id // 10 AS rec, vec_id AS ch, CAST(j - 1 AS INTEGER) AS j, CAST(v AS DOUBLE) AS v FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS j FROM embeddings)),
+  k AS (SELECT t, j, (1 + 2 * sum(CASE WHEN f < 32 THEN cos(2 * pi() * f * (t / 164.0 - j / 64.0)) END) + max(cos(2 * pi() * 32 * t / 164.0)) * (CASE WHEN j % 2 = 0 THEN 1 ELSE -1 END)) / 64 AS w
+    FROM (SELECT CAST(unnest(range(0, 164)) AS INTEGER) AS t), (SELECT CAST(unnest(range(0, 64)) AS INTEGER) AS j), (SELECT unnest(range(1, 33)) AS f) GROUP BY t, j)
+SELECT rec, ch, t, round(sum(v * w), 6) + 0.0 AS v FROM s JOIN k USING (j) GROUP BY rec, ch, t"""
+)
+def resample_fft_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resampled channels sample by sample."""
+    return resample_fft(spark, sf_dir).select("rec", "ch", F.posexplode("samples").alias("t", "v")).withColumn("v", rounded("v"))
+
+
 @query()
 def resample_fft(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every channel resampled from 100 Hz to the target rate."""
@@ -251,7 +278,6 @@ def golden_sphere(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- precision -------------------------------------------------------------
 
-_BF16 = "CASE WHEN {v} = 0 OR isinf({v}) OR isnan({v}) THEN {v} ELSE round_even({v} / pow(2.0, greatest(floor(log2(abs({v}))), -126) - 7), 0) * pow(2.0, greatest(floor(log2(abs({v}))), -126) - 7) END"
 
 
 @query(
