@@ -154,3 +154,18 @@ def test_a_cluster_must_name_its_shared_folder():
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
     with pytest.raises(ValueError, match="checkpoint"):
         shared_folder(cluster)
+
+
+def test_broken_recordings_are_rows_with_their_error(spark, tmp_path):
+    x = np.random.default_rng(3).normal(size=(2, 40)) * 1e-5
+    for name in ("good", "headless", "lost"):
+        write(tmp_path, name, x)
+    (tmp_path / "lost.eeg").unlink()
+    (tmp_path / "headless.vhdr").write_text("nothing")
+    (tmp_path / "good.vhdr").write_text((tmp_path / "good.vhdr").read_text(encoding="utf-8").replace("DataFile=good", "DataFile=$b"), encoding="utf-8")
+    recordings = spark.createDataFrame([(n, str(tmp_path / f"{n}.vhdr")) for n in ("good", "headless", "lost", "absent")], "rec string, path string")
+    rows = brainvision.read_recordings(recordings).collect()
+    assert {r["rec"]: r["error"] for r in rows if r["error"]}.keys() == {"headless", "lost", "absent"}
+    assert {r["rec"]: r["error"] for r in rows}["lost"] == "ValueError: data file is missing"
+    good = sorted((r["ch"], r["samples"]) for r in rows if r["rec"] == "good")
+    assert np.allclose([s for _, s in good], x, atol=1e-10)

@@ -40,7 +40,7 @@ def segment_dataset(
     # only the first run has no output yet; an output that cannot be read is an error
     done = spark.read.parquet(target).select("rec") if exists(spark, target) else spark.createDataFrame([], "rec string")
     state = cut(reports.resume_state(found, done, "rec"))
-    decoded = cut(brainvision.read_recordings(spark, root, state.where("NOT skipped").select("rec", "path")))
+    decoded = cut(brainvision.read_recordings(state.where("NOT skipped").select("rec", "path")))
     places = electrodes.electrodes_of(state.select("rec", "stem", "dir"), electrodes.read_electrodes(spark, root))
     channels = decoded.where("error IS NULL")
     sensors, guard = _positions(channels, places)

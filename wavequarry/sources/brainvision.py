@@ -6,15 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow.fs import FileSystem, LocalFileSystem
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavequarry.functions.bids import parent_dir
 from wavequarry.session import arrow_batches
 
 #: Sample formats of the header and what a unit is in volts.
 FORMATS = {"INT_16": "<i2", "INT_32": "<i4", "IEEE_FLOAT_32": "<f4"}
 UNITS = {"v": 1.0, "mv": 1e-3, "µv": 1e-6, "uv": 1e-6, "nv": 1e-9, "": 1e-6}
+#: Most tasks that recordings are spread over.
+TASKS = 100_000
 SCHEMA = "rec string, ch int, name string, rate double, samples array<double>, error string"
 
 
@@ -55,15 +57,32 @@ def decode(header: str, data: bytes) -> tuple[list[str], float, np.ndarray]:
     return names, 1e6 / float(common["samplinginterval"]), signal * np.array(scale)[:, None]
 
 
+def _content(path: str) -> bytes:
+    """A whole file, read inside a task."""
+    system, name = FileSystem.from_uri(path) if "://" in path else (LocalFileSystem(), path)
+    with system.open_input_stream(name) as stream:
+        return stream.read()
+
+
+def data_file(header_path: str, header: str) -> str:
+    """The path of the samples that a header names; ``$b`` stands for the header's own name."""
+    folder, _, name = header_path.rpartition("/")
+    named = parse_header(header)["common infos"]["datafile"].replace("$b", name.rsplit(".", 1)[0])
+    return f"{folder}/{named}"
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = {"rec": pa.string(), "ch": pa.int32(), "name": pa.string(), "rate": pa.float64(), "samples": pa.list_(pa.float64()), "error": pa.string()}
     row = lambda *values: pa.RecordBatch.from_arrays([pa.array([v], type=k) for v, k in zip(values, kinds.values(), strict=True)], names=list(kinds))
     for batch in batches:
-        for rec, header, data in zip(*(batch.column(c).to_pylist() for c in ("rec", "header", "data")), strict=True):
+        for rec, path in zip(batch.column("rec").to_pylist(), batch.column("path").to_pylist(), strict=True):
             try:
-                if data is None:
-                    raise ValueError("data file is missing")
-                names, rate, x = decode(header.decode("utf-8", errors="replace"), data)
+                header = _content(path).decode("utf-8", errors="replace")
+                try:
+                    data = _content(data_file(path, header))
+                except FileNotFoundError as e:
+                    raise ValueError("data file is missing") from e
+                names, rate, x = decode(header, data)
             except Exception as e:  # noqa: BLE001 - a broken file is a row with its error
                 yield row(rec, None, None, None, None, f"{type(e).__name__}: {e}")
                 continue
@@ -71,16 +90,16 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield row(rec, ch, name, rate, x[ch], None)
 
 
-def read_brainvision(spark: SparkSession, root: str, recordings: DataFrame) -> DataFrame:
-    """(rec, ch, name, rate, samples, error), one row per channel, of the header files among ``recordings`` (rec, path) below ``root``; a broken one is a row with its error."""
+def read_brainvision(recordings: DataFrame) -> DataFrame:
+    """(rec, ch, name, rate, samples, error), one row per channel, of the header files among ``recordings`` (rec, path); a broken one is a row with its error.
+
+    Only paths are planned and shuffled: a task opens the header and the samples of its recordings.
+    """
+    spark = recordings.sparkSession
     arrow_batches(spark, rows=1)
-    binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{vhdr,eeg,dat}").load(root)
-    files = binary.select(F.regexp_replace("path", r"^file:", "").alias("path"), "content")
-    headers = files.join(recordings.where(F.endswith("path", F.lit(".vhdr"))).select("rec", "path"), "path")
-    name = F.trim(F.regexp_extract(F.decode("content", "UTF-8"), r"(?im)^DataFile\s*=\s*(.+?)\s*$", 1))
-    headers = headers.select("rec", F.col("content").alias("header"), F.concat(parent_dir(F.col("path")), F.lit("/"), F.replace(name, F.lit("$b"), F.element_at(F.split("rec", "/"), -1))).alias("file"))
-    both = headers.join(files.select(F.col("path").alias("file"), F.col("content").alias("data")), "file", "left")
-    return both.select("rec", "header", "data").mapInArrow(_decode, SCHEMA)
+    headers = recordings.where(F.endswith("path", F.lit(".vhdr"))).select("rec", "path")
+    tasks = max(spark.sparkContext.defaultParallelism, min(headers.count(), TASKS))
+    return headers.repartition(tasks, "path").mapInArrow(_decode, SCHEMA)
 
 
 def unsupported(recordings: DataFrame) -> DataFrame:
@@ -90,6 +109,6 @@ def unsupported(recordings: DataFrame) -> DataFrame:
     return rest.select("rec", *empty, F.concat(F.lit("unsupported format: "), F.regexp_extract("path", r"\.([^./]*)$", 1)).alias("error"))
 
 
-def read_recordings(spark: SparkSession, root: str, recordings: DataFrame) -> DataFrame:
+def read_recordings(recordings: DataFrame) -> DataFrame:
     """All ``recordings`` (rec, path): decoded, or failed with an error."""
-    return read_brainvision(spark, root, recordings).unionByName(unsupported(recordings))
+    return read_brainvision(recordings).unionByName(unsupported(recordings))
