@@ -67,14 +67,23 @@ def _with_kinds(grams: DataFrame) -> DataFrame:
     return grams
 
 
+def _forms() -> Column:
+    """Every form of a trigram as (level, p, q, r)."""
+    parts = [(*(F.lit("") for _ in range(3 - len(form))), *(F.col(c) for c in form)) for form in _FORMS]
+    return F.array(*(F.struct(F.lit(level).alias("level"), p.alias("p"), q.alias("q"), r.alias("r")) for level, (p, q, r) in enumerate(parts)))
+
+
 def _look_up(lasts: DataFrame, grams: DataFrame, scope: tuple[str, ...], sums: tuple[str, ...]) -> DataFrame:
-    """``lasts`` with the sums of ``grams`` in every form of their trigram; only forms that they have are summed."""
-    for level, form in enumerate(_FORMS):
-        keys = [*scope, *form]
-        wanted = small_side(cut(lasts.select(*keys).distinct()))
-        found = grams.join(wanted, keys, "left_semi").groupBy(*keys).agg(*(F.sum(k).alias(f"{k}{level}") for k in sums))
-        lasts = lasts.join(small_side(cut(found)), keys, "left")
-    return lasts.select(*(F.coalesce(c, F.lit(0)).alias(c) if c[:-1] in sums and c[-1] in "0123" else c for c in lasts.columns))
+    """(key, source, last, mark, broken) of ``lasts`` with the sums of ``grams`` in every form of their trigram; only forms that they have are summed."""
+    keys = [*scope, "level", "p", "q", "r"]
+    asked = lasts.select("key", "source", "last", "mark", "broken", F.explode(_forms()).alias("f")).select("key", "source", "last", "mark", "broken", "f.*")
+    asked = cut(asked)
+    wanted = small_side(asked.select(*keys).distinct())
+    found = grams.select(*scope, *sums, F.explode(_forms()).alias("f")).select(*scope, *sums, "f.*").join(wanted, keys, "left_semi")
+    found = cut(found.groupBy(*keys).agg(*(F.sum(k).alias(k) for k in sums)))
+    met = asked.join(small_side(found), keys, "left")
+    at = lambda k, level: F.coalesce(F.max(F.when(F.col("level") == level, F.col(k))), F.lit(0)).alias(f"{k}{level}")
+    return met.groupBy("key", "source").agg(*(F.first(c).alias(c) for c in ("last", "mark", "broken")), *(at(k, level) for k in sums for level in range(4)))
 
 
 def _end_rate(own: float = 1.0) -> Column:
