@@ -169,3 +169,33 @@ def test_broken_recordings_are_rows_with_their_error(spark, tmp_path):
     assert {r["rec"]: r["error"] for r in rows}["lost"] == "ValueError: data file is missing"
     good = sorted((r["ch"], r["samples"]) for r in rows if r["rec"] == "good")
     assert np.allclose([s for _, s in good], x, atol=1e-10)
+
+
+def test_layout_and_channel_kinds(spark, tmp_path):
+    root = tmp_path / "study"
+    folder = root / "D" / "bids" / "derivatives" / "preprocessing" / "sub-1" / "eeg"
+    names = ["Fp1", "Fp2", "F3", "Fz", "F4", "C3", "Cz", "C4", "P3", "Pz", "P4", "O1", "HEOG", "odd"]
+    x = np.random.default_rng(4).normal(size=(14, 256 * 2)) * 1e-5
+    write(folder, "sub-1_task-rest_eeg", x, names=names)
+    types = ["EEG"] * 5 + ["MEGMAG"] + ["EEG"] * 6 + ["EOG", "EEG"]
+    (folder / "sub-1_task-rest_channels.tsv").write_text("name\ttype\tunits\n" + "".join(f"{n}\t{t}\tuV\n" for n, t in zip(names, types, strict=True)))
+    results = pipeline.segment_dataset(spark, str(root), str(tmp_path / "out"), 1, 1).collect()
+    assert [(r["success"], r["error"]) for r in results] == [(True, None)]
+    first = spark.read.parquet(str(tmp_path / "out" / "segments")).orderBy("seg_idx").first()
+    assert list(first["sensor_type"]) == [0] * 5 + [1] + [0] * 6  # no EOG; a name without a place is dropped
+    places = np.array(first["pos"])[:, :3]
+    assert places[0][0] < places[3][0] < places[1][0] and places[3][1] > places[9][1]  # left, middle, right; front, back
+
+
+def test_ten_twenty_layout():
+    from wavequarry.operators.coords import HEAD_RADIUS, ten_twenty
+
+    places = {n: np.array(p) / HEAD_RADIUS for n, p in ten_twenty().items()}
+    assert all(abs(np.linalg.norm(p) - 1) < 1e-9 for p in places.values())
+    assert np.allclose(places["Cz"], [0, 0, 1]) and np.allclose(places["T7"] * [-1, 1, 1], places["T8"])
+    assert np.allclose(places["C3"], [-np.sin(np.radians(36)), 0, np.cos(np.radians(36))])
+    assert np.allclose(places["T3"], places["T7"]) and len(places) == 9 + 4 + 7 * 8 + 4
+    for name, place in places.items():
+        if name[-1] in "13579":
+            even = name[:-1] + str(int(name[-1]) + 1)
+            assert np.allclose(places[even], place * [-1, 1, 1])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -89,6 +90,54 @@ def golden_sphere(i: Column, n: Column, radius: float = 0.1) -> tuple[Column, Co
     return radius * F.cos(theta) * F.sin(phi), radius * F.sin(theta) * F.sin(phi), radius * F.cos(phi)
 
 
+#: Radius of the standard layout's sphere in metres.
+HEAD_RADIUS = 0.095
+#: The rows of the 10-10 system from front to back, and the older names of four of its electrodes.
+ROWS = ("Fp", "AF", "F", "FC", "C", "CP", "P", "PO", "O")
+OLDER_NAMES = {"T3": "T7", "T4": "T8", "T5": "P7", "T6": "P8"}
+
+
+def ten_twenty() -> dict[str, tuple[float, float, float]]:
+    """The 10-10 electrodes on a sphere (x to the right, y to the front, z up), by the system's own rule.
+
+    The midline runs from 72 degrees in front of the vertex to 72 behind it in even steps,
+    the outer ring 72 degrees around the vertex from 18 degrees beside the front to 18
+    beside the back, and each row divides the arc from its outer to its middle electrode
+    evenly. The outer electrodes of the middle rows begin with T.
+    """
+    out: dict[str, np.ndarray] = {}
+    ring = math.radians(72)
+    for k, row in enumerate(ROWS):
+        tilt = math.radians(72 - 18 * k)
+        middle = np.array([0.0, math.sin(tilt), math.cos(tilt)])
+        out[f"{row}z"] = middle
+        turn = math.radians(18 + 18 * k)
+        for side, odd in ((-1, 1), (1, 0)):
+            outer = np.array([side * math.sin(turn) * math.sin(ring), math.cos(turn) * math.sin(ring), math.cos(ring)])
+            if row in ("Fp", "O"):
+                out[f"{row}{1 if odd else 2}"] = outer
+                continue
+            angle = math.acos(float(np.clip(outer @ middle, -1, 1)))
+            for step in range(1, 5):  # electrodes 1, 3, 5, 7 or 2, 4, 6, 8
+                part = (math.sin((1 - step / 4) * angle) * middle + math.sin(step / 4 * angle) * outer) / math.sin(angle)
+                name = {"FC": "FT", "C": "T", "CP": "TP"}.get(row, row) if step == 4 else row
+                out[f"{name}{2 * step - odd}"] = part
+    out |= {old: out[new] for old, new in OLDER_NAMES.items()}
+    return {name: tuple(float(v) * HEAD_RADIUS for v in place) for name, place in out.items()}
+
+
+def montage_positions(channels: DataFrame) -> DataFrame:
+    """(rec, name, x, y, z) of the channels (rec, name) of recordings whose layout is 10-20 and that have at least one of its names.
+
+    A recording with geodesic names has no table here, nor one none of whose names is known; the
+    caller places their channels otherwise. Other names of a known recording have no row.
+    """
+    table = channels.sparkSession.createDataFrame([(n.lower(), *p) for n, p in ten_twenty().items()], "key string, x double, y double, z double")
+    layouts = montage_choice(channels, "rec").where("montage = 'standard_1020'")
+    standard = channels.join(layouts, "rec", "left_semi").select("rec", "name", F.lower("name").alias("key"))
+    return standard.join(F.broadcast(table), "key").select("rec", "name", "x", "y", "z")  # under a hundred rows
+
+
 def montage_choice(channels: DataFrame, key: str, name: str = "name") -> DataFrame:
     """Per recording the standard layout: the geodesic net if any channel is named e and digits, else 10-20."""
     net = F.bool_or(F.lower(name).rlike("^e[0-9]+$"))

@@ -11,16 +11,24 @@ from wavequarry.session import cut, exists
 from wavequarry.sources import brainvision, electrodes, files, sinks
 
 
-def _positions(channels: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The valid channels with normalised position and sensor type, and per recording whether it keeps enough of them."""
+def _positions(channels: DataFrame, places: DataFrame, kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The valid EEG and MEG channels with normalised position and sensor type, and per recording whether it keeps enough of them.
+
+    Channels without a kind are EEG. Positions are those of the electrode table, else of the standard
+    layout, else stand-ins on a sphere.
+    """
+    known = channels.select("rec", "ch", "name").join(kinds, ["rec", "name"], "left").withColumn("kind", F.coalesce("kind", F.lit(coords.KIND_EEG)))
+    picked = cut(coords.pick_channels(known))
+    tables = places.select("rec").distinct()
+    places = places.unionByName(coords.montage_positions(picked.select("rec", "name").join(tables, "rec", "left_anti")))
     tables = places.select("rec").distinct().withColumn("placed", F.lit(True))
-    found = channels.select("rec", "ch", "name").join(places, ["rec", "name"], "left").join(tables, "rec", "left")
+    found = picked.join(places, ["rec", "name"], "left").join(tables, "rec", "left")
     per = windowing.Window.partitionBy("rec")  # as many rows as a recording has channels
-    # a recording without any electrode table gets stand-in positions
+    # a recording without any position gets stand-ins
     stand_in = coords.golden_sphere(F.row_number().over(per.orderBy("ch")) - 1, F.count("*").over(per))
     for c, s in zip("xyz", stand_in, strict=True):
         found = found.withColumn(c, F.when(F.col("placed"), F.col(c)).otherwise(s))
-    known = found.withColumn("valid", ~coords.invalid_coordinate(F.col("x"), F.col("y"), F.col("z"))).withColumn("sensor_type", F.lit(coords.EEG))
+    known = found.withColumn("valid", ~coords.invalid_coordinate(F.col("x"), F.col("y"), F.col("z"))).withColumn("sensor_type", coords.sensor_type(F.col("kind"), F.coalesce("coil", F.lit(""))))
     kept = coords.normalize_positions(known.where("valid"), ["rec"])
     six = F.transform(F.array("xn", "yn", "zn", F.lit(0.0), F.lit(0.0), F.lit(0.0)), lambda v: v.cast("float"))
     return kept.select("rec", "ch", six.alias("pos"), "sensor_type"), coords.channel_guard(known)
@@ -43,7 +51,8 @@ def segment_dataset(
     decoded = cut(brainvision.read_recordings(state.where("NOT skipped").select("rec", "path")))
     places = electrodes.electrodes_of(state.select("rec", "stem", "dir"), electrodes.read_electrodes(spark, root))
     channels = decoded.where("error IS NULL")
-    sensors, guard = _positions(channels, places)
+    kinds = electrodes.kinds_of(state.select("rec", "stem", "dir"), electrodes.read_channel_kinds(spark, root))
+    sensors, guard = _positions(channels, cut(places), kinds)
     guard = cut(guard.select("rec", "failed", "n_valid"))
     sensors = cut(sensors.join(guard.where("NOT failed").select("rec"), "rec", "left_semi"))
     even = resample.resample_channels(channels.select("rec", "ch", "rate", "samples"), rate)

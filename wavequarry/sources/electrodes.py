@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavequarry.functions.bids import entities, parent_dir
-from wavequarry.operators.coords import first_candidate, last_electrode
+from wavequarry.operators.coords import KIND_EEG, KIND_MEG, first_candidate, last_electrode
 
 SCHEMA = "name string, x double, y double, z double"
 
@@ -21,6 +21,27 @@ def read_electrodes(spark: SparkSession, root: str) -> DataFrame:
     return rows.withColumn("dir", parent_dir(F.col("file")))
 
 
+def read_channel_kinds(spark: SparkSession, root: str) -> DataFrame:
+    """(file, name, kind, coil) of every ``*_channels.tsv`` below ``root``: EEG, MEG (with its type as the coil) or neither.
+
+    Name and type are the first two columns, whatever follows them.
+    """
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*_channels.tsv").text(root)
+    part = lambda i: F.trim(F.split_part("value", F.lit("\t"), F.lit(i)))
+    rows = rows.withColumn("name", part(1)).withColumn("type", part(2)).where("name <> '' AND NOT (name = 'name' AND type = 'type')")
+    file = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "/")
+    coil = F.upper(F.trim("type"))
+    kind = F.when(coil == "EEG", F.lit(KIND_EEG)).when(F.startswith(coil, F.lit("MEG")), F.lit(KIND_MEG)).otherwise(0)
+    return rows.select(file.alias("file"), "name", kind.alias("kind"), coil.alias("coil"))
+
+
+def kinds_of(recordings: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(rec, name, kind, coil) of the channel table that lies beside a recording (rec, stem, dir) under its name."""
+    file = F.concat("dir", F.lit("/"), F.regexp_replace("stem", "_(eeg|meg)$", ""), F.lit("_channels.tsv"))
+    found = recordings.select("rec", file.alias("file")).join(kinds, "file")
+    return found.groupBy("rec", "name").agg(F.max(F.struct("kind", "coil")).alias("k")).select("rec", "name", "k.*")
+
+
 def electrodes_of(recordings: DataFrame, electrodes: DataFrame) -> DataFrame:
     """(rec, name, x, y, z): the electrodes of the first table that a recording (rec, stem, dir) finds.
 
