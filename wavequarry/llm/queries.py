@@ -145,6 +145,12 @@ QUERIES = {
 ORACLE = {
     "p4_found": f"""WITH r AS (SELECT 'train' AS split, {RECORD_PATH_SQL} AS path FROM train UNION ALL SELECT 'val', {RECORD_PATH_SQL} FROM val UNION ALL SELECT 'test', {RECORD_PATH_SQL} FROM test)
 SELECT split_part(path, '/', 4) AS dataset, CAST(regexp_extract(path, '/sub-([0-9]+)/', 1) AS BIGINT) AS subject_no FROM r WHERE path IS NOT NULL GROUP BY ALL HAVING count(DISTINCT split) > 1""",
+    # totals as close to the shares as whole records allow: components are small enough for every total to be reached
+    "p4_shares": f"""WITH r AS (SELECT {RECORD_PATH_SQL} AS path FROM train UNION SELECT {RECORD_PATH_SQL} FROM val UNION SELECT {RECORD_PATH_SQL} FROM test),
+  n AS (SELECT count(path) AS n FROM r), t AS (SELECT split_name, share / sum(share) OVER () AS share, row_number() OVER (ORDER BY share DESC, split_name DESC) AS k FROM split_targets),
+  s AS (SELECT split_name, k, n, CAST(ceil(n * share - 0.5) AS BIGINT) AS records FROM t, n)
+SELECT split_name AS new_split, CASE WHEN k > 1 THEN records ELSE n - sum(records) FILTER (k > 1) OVER () END AS records,
+  CASE WHEN k > 1 THEN records ELSE n - sum(records) FILTER (k > 1) OVER () END / n AS share FROM s""",
     "p5_found": f"""WITH l AS (SELECT DISTINCT {RECORD_PATH_SQL} AS path FROM train), s AS (SELECT {RECORD_PATH_SQL} AS path, max(len(x)) AS n FROM segments WHERE x IS NOT NULL GROUP BY 1),
   r AS (SELECT split_part(path, '/', 4) AS dataset, n FROM s JOIN l USING (path)), own AS (SELECT dataset, sum(n) AS n FROM r GROUP BY dataset)
 SELECT t.dataset FROM mix_targets t LEFT JOIN own USING (dataset) WHERE t.target_share * (SELECT sum(n) FROM r) > t.max_repeats * coalesce(own.n, 0)""",
