@@ -228,3 +228,12 @@ def test_running_sums_and_splits_do_not_depend_on_the_parts(spark, monkeypatch):
         want += [(r[1], i + 1, sum(x[2] for x in mine[: i + 1])) for i, r in enumerate(mine)]
     assert [tuple(r) for r in whole[1]] == sorted(want)
     assert manifest.stratified_split(table.limit(0), ["d"]).count() == 0
+
+
+def test_windows_of_a_recording_with_a_lost_position_are_rejected(spark):
+    rows = [(r, w, float("nan") if (r, w) == ("a", 1) else 1.0) for r in "abc" for w in range(3)]
+    windowed = spark.createDataFrame(rows, "rec string, win int, v double")
+    positions = spark.createDataFrame([("a", 0.0, 0.1, 0.2), ("b", 0.0, NAN, 0.2), ("b", 0.0, 0.1, 0.2)], "rec string, x double, y double, z double")
+    kept = lambda *p: sorted(tuple(r) for r in windowing.accepted_windows(windowed, *p).collect())
+    assert kept() == [("a", 0, 0), ("a", 2, 1), *((r, w, w) for r in "bc" for w in range(3))]
+    assert kept(positions) == [("a", 0, 0), ("a", 2, 1), *(("c", w, w) for w in range(3))]

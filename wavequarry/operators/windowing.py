@@ -80,9 +80,15 @@ def segment_stats(windowed: DataFrame) -> DataFrame:
     )
 
 
-def accepted_windows(windowed: DataFrame) -> DataFrame:
-    """Windows without NaN, numbered densely: rec, win, seg_idx."""
+def accepted_windows(windowed: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+    """Windows without NaN, numbered densely: rec, win, seg_idx.
+
+    With ``positions`` (rec, x, y, z) no window of a recording that has a NaN position is accepted.
+    """
     clean = windowed.groupBy("rec", "win").agg(F.bool_or(F.isnan("v")).alias("bad")).where("NOT bad")
+    if positions is not None:
+        lost = positions.where(F.isnan("x") | F.isnan("y") | F.isnan("z")).select("rec").distinct()
+        clean = clean.join(lost, "rec", "left_anti")
     return clean.select("rec", "win", (F.row_number().over(Window.partitionBy("rec").orderBy("win")) - 1).alias("seg_idx"))
 
 

@@ -197,13 +197,17 @@ def position_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coords.normalize_positions(channels, ["path"]).select("path", "ch", *(rounded(f"{c}n", 5).alias(f"{c}n") for c in "xyz"))
 
 
-@query("SELECT DISTINCT vec_id AS ch, 0.0 :: DOUBLE AS xn, 0.0 :: DOUBLE AS yn, 0.0 :: DOUBLE AS zn, true AS tiny FROM embeddings")
+@query(
+    """WITH e AS (SELECT vec_id AS ch, first_value(embedding) OVER (PARTITION BY vec_id // 10 ORDER BY vec_id) AS p FROM embeddings)
+SELECT ch, round(CAST(p[1] AS DOUBLE), 6) + 0.0 AS cx, round(CAST(p[2] AS DOUBLE), 6) + 0.0 AS cy, round(CAST(p[3] AS DOUBLE), 6) + 0.0 AS cz, 0.0 :: DOUBLE AS xn, 0.0 :: DOUBLE AS yn, 0.0 :: DOUBLE AS zn, true AS tiny FROM e"""
+)
 def position_degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Electrodes that all lie in one point are centred and not scaled."""
-    at = [F.lit(v).alias(c) for c, v in zip("xyz", (0.25, -0.5, 2.0), strict=True)]
-    rows = _channels(spark, sf_dir).select("rec", "ch", F.lit(0).alias("sensor_type"), *at)
+    """Electrodes that all lie in one point, that of their recording's first channel, are centred on it and not scaled."""
+    first = F.first("samples").over(windowing.Window.partitionBy("rec").orderBy("ch"))
+    rows = _channels(spark, sf_dir).select("rec", "ch", F.lit(0).alias("sensor_type"), *(first[i].cast("double").alias(c) for i, c in enumerate("xyz")))
     out = coords.normalize_positions(rows, ["rec"])
-    return out.select("ch", *(rounded(f"{c}n", 9).alias(f"{c}n") for c in "xyz"), (F.col("radius") <= coords.TINY).alias("tiny"))
+    centre = (rounded(F.col(c) - F.col(f"{c}n")).alias(f"c{c}") for c in "xyz")
+    return out.select("ch", *centre, *(rounded(f"{c}n", 9).alias(f"{c}n") for c in "xyz"), (F.col("radius") <= coords.TINY).alias("tiny"))
 
 
 @query(
