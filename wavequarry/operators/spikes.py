@@ -96,10 +96,24 @@ def _bins(a: np.ndarray) -> np.ndarray:
         return np.where(a > 0, np.floor(np.log(np.where(a > 0, a, 1.0)) / LOG_BIN), ZERO_BIN)
 
 
+def _shape_bins(v: np.ndarray) -> list[np.ndarray]:
+    """The bin of each of ``SHAPES`` for every channel; NaN where it does not count (a channel that does not move, a mean of zero)."""
+    value, d1, d2 = _phases(v)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        both = np.where(np.isnan(d2), np.nan, value)
+        slope = np.nansum(both * d2, axis=1) / np.nansum(both * both, axis=1)
+        sizes = [np.abs(a) for a in (value, d1, d2 - slope[:, None] * value, np.diff(value, axis=1))]
+    medians, means = [_median(a) for a in sizes], [_bins(_mean(a)) for a in sizes]
+    known = ~np.isnan(slope) & ~np.isnan(medians[0])
+    found = [*(_bins(m) for m in medians), np.floor(slope / SLOPE_BIN), *(np.where(e == ZERO_BIN, np.nan, e) for e in means)]
+    return [np.where(known, a, np.nan) for a in found]
+
+
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches (source, x and, once there is an ellipsoid, its spreads and radius) to counts (source, what, bin, n) of channel measures.
+    """Batches (source, x) to counts (source, what, bin, count) of channel shapes.
 
-    Samples outside the ellipsoid are left out.
+    With an ellipsoid (a0, a1, slope, a2, radius_limit) the counts are what changes in them if samples outside
+    are left out: channels that have such samples count once less as they are, and once more without them.
     """
     for batch in batches:
         code = batch.column("source").dictionary_encode()
@@ -108,24 +122,22 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if raw.shape[1] < 3:
                 continue
             v = _finite(raw)
+            forms = [(v, row, 1)]
             if "radius_limit" in batch.schema.names:
                 *scale, limit = _scales(batch, row, ("a0", "a1", "slope", "a2", "radius_limit"))
                 with np.errstate(invalid="ignore"):
-                    v[_radii(v, scale) > limit] = np.nan
-            value, d1, d2 = _phases(v)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                both = np.where(np.isnan(d2), np.nan, value)
-                slope = np.nansum(both * d2, axis=1) / np.nansum(both * both, axis=1)
-                sizes = [np.abs(a) for a in (value, d1, d2 - slope[:, None] * value, np.diff(value, axis=1))]
-            found = [*(_bins(_median(a)) for a in sizes), np.floor(slope / SLOPE_BIN), *(_bins(_mean(a)) for a in sizes)]
-            known = ~np.isnan(slope) & ~np.isnan(_median(sizes[0]))
-            for what, bins in enumerate(found):
-                kept = known if what < 4 else known & (bins != ZERO_BIN)
-                parts.append(np.stack([keys[row][kept], np.full(kept.sum(), what), bins[kept]], axis=1).astype(np.int64))
+                    outside = _radii(v, scale) > limit
+                hit = np.flatnonzero(outside.any(axis=1))
+                forms = [(v[hit], row[hit], -1), (np.where(outside[hit], np.nan, v[hit]), row[hit], 1)]
+            for values, rows, weight in forms:
+                for what, bins in enumerate(_shape_bins(values) if len(rows) else []):
+                    kept = ~np.isnan(bins)
+                    parts.append(np.stack([keys[rows][kept], np.full(kept.sum(), what), bins[kept], np.full(kept.sum(), weight)], axis=1).astype(np.int64))
         if parts:
             bars, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(bars[:, 0])), pa.array(np.array(SHAPES)[bars[:, 1]]), pa.array(bars[:, 2].astype(np.float64)), pa.array(n)], names=["source", "what", "bin", "count"]
+                [names.take(pa.array(bars[:, 0])), pa.array(np.array(SHAPES)[bars[:, 1]]), pa.array(bars[:, 2].astype(np.float64)), pa.array(n * bars[:, 3])],
+                names=["source", "what", "bin", "count"],
             )
 
 
@@ -197,7 +209,7 @@ def _middle(bins: np.ndarray, counts: np.ndarray, what: str) -> float:
 def shape_counts(signals: DataFrame) -> DataFrame:
     """Histograms (source, what, bin, count) of the moving channels' ``SHAPES``.
 
-    Samples outside the ellipsoid that ``signals`` may carry (a0, a1, slope, a2, radius_limit) are left out.
+    If ``signals`` carry an ellipsoid (a0, a1, slope, a2, radius_limit), what changes in them without the samples outside.
     """
     columns = [c for c in ("source", "x", "a0", "a1", "slope", "a2", "radius_limit") if c in signals.columns]
     counts = signals.select(*columns).mapInArrow(_shapes, "source string, what string, bin double, count bigint")
@@ -257,9 +269,8 @@ def fit_ellipsoids(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The channels' measures under the last ellipsoids, and those ellipsoids (spreads, slope, radius_limit, run_limit) per source.
 
     A round measures the channels, sets the limits, and fits the spreads again without the
-    samples outside; only records that have such samples are read for that. Spreads are
-    middles of bins, so they come to a stand: the rounds end when all of them are as in a
-    round before.
+    samples outside. Only histograms are shuffled. Spreads are middles of bins, so they
+    come to a stand: the rounds end when all of them are as in a round before.
     """
     whole = cut(shape_counts(signals))
     spreads, seen = cut(source_spreads(whole)), set()
@@ -267,11 +278,8 @@ def fit_ellipsoids(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
         seen.add(frozenset(map(tuple, spreads.collect())))  # one row per source
         measures = cut(channel_measures(signals, spreads))
         ellipsoids = cut(spreads.join(source_limits(measures), "source", "full"))
-        outside = F.exists("channels", lambda c: c["radius"] > F.col("radius_limit"))
-        hit = cut(measures.join(small_side(ellipsoids), "source").where(outside).select("path").distinct())
-        hit = cut(signals.select("path", "source", "x").join(small_side(hit), "path", "left_semi"))
-        without, before = shape_counts(hit.join(small_side(ellipsoids), "source", "left")), shape_counts(hit)
-        spreads = cut(source_spreads(whole.unionByName(without).unionByName(before.withColumn("count", -F.col("count")))))
+        changes = shape_counts(signals.select("source", "x").join(small_side(ellipsoids), "source", "left"))
+        spreads = cut(source_spreads(whole.unionByName(changes)))
         if frozenset(map(tuple, spreads.collect())) in seen:
             return measures, ellipsoids
 
