@@ -55,6 +55,9 @@ UNITS = frozenset("mm cm m km mg g kg ml l ms s min h hz khz mhz v mv uv µv a m
 #: Window rows that a worker hands over at once; windows of an item whose flags make up one number; pairs that one task aligns.
 BATCH_ROWS, FLAGS, ALIGNED = 20_000, 62, 200
 
+#: Up to so many keys of the items' windows go to the tasks, which then leave out windows that would not join; the result is the same.
+SENT_KEYS = 1_000_000
+
 _TOKEN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|(?:(?![\p{Han}\p{Hiragana}\p{Katakana}])[\p{L}\p{M}\p{N}])+|[%°]\p{L}?")
 _INVISIBLE = regex.compile(r"\p{Cf}+")
 _NUMBER = regex.compile(r"\p{N}+$")
@@ -88,19 +91,53 @@ class Names:
         return plain in self.known or (word[0].isupper() and plain not in self.common and not (len(word) > 1 and word.isupper()))
 
 
+def _slot(word: str, names: Names) -> tuple[str, str]:
+    """A word's template token and the value of its slot (empty for a plain word)."""
+    plain = word.casefold()
+    kind = "<num>" if _NUMBER.match(word) else "<unit>" if plain in UNITS else "<name>" if word in names else plain
+    return kind, "" if kind == plain else plain
+
+
 def template(words: list[str], names: Names) -> tuple[list[str], list[str]]:
-    """The template tokens of a text and, beside each, the value of its slot (empty for a plain word)."""
-    kinds, values = [], []
-    for word in words:
-        plain = word.casefold()
-        kind = "<num>" if _NUMBER.match(word) else "<unit>" if plain in UNITS else "<name>" if word in names else plain
-        kinds.append(kind)
-        values.append("" if kind == plain else plain)
-    return kinds, values
+    """The template tokens of a text and, beside each, the value of its slot."""
+    pairs = [_slot(w, names) for w in words]
+    return [k for k, _ in pairs], [v for _, v in pairs]
+
+
+def _codes(each: list[int]) -> np.ndarray:
+    """The hash of every window of hashed template tokens; a text shorter than a window is one."""
+    tokens_ = np.array(each, dtype=np.uint64)
+    width = min(WINDOW, len(each))
+    code = np.full(len(each) - width + 1, width, dtype=np.uint64)
+    for k in range(width):
+        code = (code ^ (code >> np.uint64(29)) ^ tokens_[k : k + len(code)]) * np.uint64(0x9E3779B97F4A7C15)
+    return (code ^ (code >> np.uint64(32))).view(np.int64)
+
 
+class _Slots(dict):
+    """Words to their template token's hash and slot value."""
 
-def _windows(names: Names):
-    """(id, text) batches to (id, key, at, total, slots) rows, one for each window of a text; slots is empty where it has none."""
+    def __init__(self, names: Names) -> None:
+        self.names = names
+
+    def __missing__(self, word: str) -> tuple[int, str]:
+        kind, value = _slot(word, self.names)
+        self[word] = xxhash.xxh64_intdigest(kind), value
+        return self[word]
+
+
+def _among(codes: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which codes are in ``ordered``."""
+    if not len(ordered):
+        return np.zeros(len(codes), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, codes), len(ordered) - 1)] == codes
+
+
+def _windows(names: Names, wanted: np.ndarray | None = None):
+    """(id, text) batches to (id, key, at, total, slots) rows, one for each window of a text; slots is empty where it has none.
+
+    With ``wanted``, the sorted keys of all windows of the other side, those that no row of it would join stay out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -113,14 +150,15 @@ def _windows(names: Names):
             return pa.RecordBatch.from_arrays(out, names=["id", "key", "at", "total", "slots"])
 
         for batch in batches:
+            slots = _Slots(names)  # of one batch, so it stays small
             for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if not text:
+                found = [slots[w] for w in tokens(text)] if text else []
+                if not found:
                     continue
-                kinds, values = template(tokens(text), names)
-                for at in range(max(1, len(kinds) - WINDOW + 1) if kinds else 0):
-                    slots = [v for v in values[at : at + WINDOW] if v]
-                    code = xxhash.xxh64_intdigest(" ".join(kinds[at : at + WINDOW])) - (1 << 63)
-                    rows.append((key, code, at, len(kinds), slots))
+                codes = _codes([h for h, _ in found])
+                places = np.arange(len(codes)) if wanted is None else np.flatnonzero(_among(codes, wanted))
+                for at, code in zip(places.tolist(), codes[places].tolist(), strict=True):
+                    rows.append((key, code, at, len(found), [v for _, v in found[at : at + WINDOW] if v]))
                     if len(rows) >= BATCH_ROWS:
                         yield handed()
         if rows:
@@ -302,9 +340,11 @@ def leaked_items(documents: DataFrame, items: DataFrame, max_items: int = 100_00
     phrase = F.xxhash64("key", "item_slots")
     stock = theirs.groupBy(phrase.alias("phrase")).agg(F.count_distinct("item_id").alias("n")).where(F.col("n") >= STOCK_ITEMS)
     theirs = cut(theirs.withColumn("phrase", phrase).join(stock, "phrase", "left_anti").drop("phrase"))
+    keys = [r[0] for r in theirs.select("key").distinct().limit(SENT_KEYS + 1).collect()]
+    wanted = np.sort(np.array(keys, dtype=np.int64)) if len(keys) <= SENT_KEYS else None
     docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("id"), "text")
     many = F.col("matched") >= RENAMED_WINDOWS * F.greatest(F.col("total") - WINDOW + 1, F.lit(1))
-    matches = template_matches(docs.mapInArrow(_windows(names), schema), theirs).where((F.size("blocks") > 0) | many)
+    matches = template_matches(docs.mapInArrow(_windows(names, wanted), schema), theirs).where((F.size("blocks") > 0) | many)
     matches = cut(matches.select("id", "item_id", "total", _flagged("same").alias("same_at"), _flagged("plain").alias("plain_at"), many.alias("many")))
     plain = matches.select("item_id", _covered(F.col("same_at")).alias("covered"), F.explode("plain_at").alias("at")).groupBy("item_id", "at")
     own = plain.agg(F.avg((F.col("covered") >= OWN_SHARE).cast("double")).alias("with_more")).where(F.col("with_more") >= 0.5)
@@ -315,7 +355,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, max_items: int = 100_00
     pairs = cut(matches.where((_covered(telling(F.col("same_at"))) >= CANDIDATE_SHARE) | F.col("many")))
     held = docs.join(small_side(pairs.select("id").distinct()), "id", "left_semi")
     held = cut(held.groupBy("id").agg(F.min("text").alias("text")))
-    slots = consistent_windows(held.mapInArrow(_windows(names), schema), theirs, pairs)
+    slots = consistent_windows(held.mapInArrow(_windows(names, wanted), schema), theirs, pairs)
     pairs = pairs.join(slots, ["id", "item_id"])
     most = F.size("consistent") >= RENAMED_WINDOWS * F.greatest(F.col("total") - WINDOW + 1, F.lit(1))
     pairs = cut(pairs.where((_covered(telling(F.col("consistent"))) >= CANDIDATE_SHARE) | most).select("id", "item_id", "own", F.when(most, F.col("renamed")).alias("renamed")))
