@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -104,16 +105,27 @@ def template(words: list[str], names: Names) -> tuple[list[str], list[str]]:
     return [k for k, _ in pairs], [v for _, v in pairs]
 
 
-def _codes(each: list[int]) -> np.ndarray:
-    """The hash of every window of hashed template tokens; a text shorter than a window is one."""
-    tokens_ = np.array(each, dtype=np.uint64)
-    width = min(WINDOW, len(each))
-    code = np.full(len(each) - width + 1, width, dtype=np.uint64)
+def _codes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hash of every ``width`` hashed template tokens in a row."""
+    code = np.full(max(len(hashes) - width + 1, 0), width, dtype=np.uint64)
     for k in range(width):
-        code = (code ^ (code >> np.uint64(29)) ^ tokens_[k : k + len(code)]) * np.uint64(0x9E3779B97F4A7C15)
+        code = (code ^ (code >> np.uint64(29)) ^ hashes[k : k + len(code)]) * np.uint64(0x9E3779B97F4A7C15)
     return (code ^ (code >> np.uint64(32))).view(np.int64)
 
 
+def _batch_codes(lengths: list[int], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, key) of the windows of texts whose hashed tokens lie behind each other; a text shorter than a window is one."""
+    size = np.array(lengths, dtype=np.int64)
+    start = np.cumsum(size) - size
+    left = np.repeat(start + size, size) - np.arange(len(hashes))
+    places = np.flatnonzero(left >= WINDOW)
+    parts = [(places, _codes(hashes, WINDOW)[places])]
+    for width in range(1, WINDOW):
+        short = start[size == width]
+        parts.append((short, _codes(hashes, width)[short]))
+    return np.concatenate([p for p, _ in parts]), np.concatenate([k for _, k in parts])
+
+
 class _Slots(dict):
     """Words to their template token's hash and slot value."""
 
@@ -122,7 +134,7 @@ class _Slots(dict):
 
     def __missing__(self, word: str) -> tuple[int, str]:
         kind, value = _slot(word, self.names)
-        self[word] = xxhash.xxh64_intdigest(kind), value
+        self[word] = xxhash.xxh64_intdigest(kind) - (1 << 63), value
         return self[word]
 
 
@@ -151,16 +163,20 @@ def _windows(names: Names, wanted: np.ndarray | None = None):
 
         for batch in batches:
             slots = _Slots(names)  # of one batch, so it stays small
-            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = [slots[w] for w in tokens(text)] if text else []
-                if not found:
-                    continue
-                codes = _codes([h for h, _ in found])
-                places = np.arange(len(codes)) if wanted is None else np.flatnonzero(_among(codes, wanted))
-                for at, code in zip(places.tolist(), codes[places].tolist(), strict=True):
-                    rows.append((key, code, at, len(found), [v for _, v in found[at : at + WINDOW] if v]))
-                    if len(rows) >= BATCH_ROWS:
-                        yield handed()
+            ids = batch.column("id").to_pylist()
+            texts = [[slots[w] for w in tokens(text)] if text else [] for text in batch.column("text").to_pylist()]
+            flat = list(chain.from_iterable(texts))
+            lengths = [len(t) for t in texts]
+            places, codes = _batch_codes(lengths, np.fromiter((h for h, _ in flat), dtype=np.int64, count=len(flat)).view(np.uint64))
+            kept = np.ones(len(places), dtype=bool) if wanted is None else _among(codes, wanted)
+            order = np.argsort(places[kept], kind="stable")
+            places, codes = places[kept][order], codes[kept][order]
+            ends = np.cumsum(lengths)
+            for place, code, text in zip(places.tolist(), codes.tolist(), np.searchsorted(ends, places, side="right").tolist(), strict=True):
+                end, total = int(ends[text]), lengths[text]
+                rows.append((ids[text], code, place - end + total, total, [v for _, v in flat[place : min(place + WINDOW, end)] if v]))
+                if len(rows) >= BATCH_ROWS:
+                    yield handed()
         if rows:
             yield handed()
 
